@@ -10,15 +10,10 @@ from pyspark.sql import functions as F
 from roadflow.functions import fixed
 from roadflow.functions.congestion import congestion_score, level_of_score
 from roadflow.functions.times import day_name, is_weekend, micros_between, plus_millis, plus_minutes
-from roadflow.operators.records import failed_codes
+from roadflow.operators.records import failed_codes, failing
 from roadflow.session import staged
 
 
-def failing_rows(df: DataFrame, failures: Mapping[str, Column], target: str = "failed") -> DataFrame:
-    """Rows that break a rule, with the comma-joined codes of all rules they break."""
-    return df.withColumn(target, failed_codes(failures)).filter(F.col(target) != "")
-
-
 def range_rules() -> dict[str, Column]:
     """Code to failure condition of the plausible ranges; NULL never fails."""
     bounds = {
@@ -33,7 +28,7 @@ def range_rules() -> dict[str, Column]:
 
 
 def range_violations(df: DataFrame) -> DataFrame:
-    return failing_rows(df, range_rules())
+    return failing(df, range_rules(), "failed")
 
 
 def cross_field_rules(interval_seconds: int = 60) -> dict[str, Column]:
@@ -70,7 +65,7 @@ def missing_optional(df: DataFrame, columns: Sequence[str] = tuple(fixed.OPTIONA
     """Rows with a NULL or NaN optional field, and which fields."""
     kinds = dict(df.dtypes)
     gone = {c: F.col(c).isNull() | F.isnan(c) if kinds[c] == "double" else F.col(c).isNull() for c in columns}
-    return failing_rows(df, gone, "missing_fields")
+    return failing(df, gone, "missing_fields")
 
 
 def detect_anomalies(events: DataFrame, key: str = "event_id", segment_limit: str | None = None) -> DataFrame:
@@ -225,7 +220,7 @@ def dimension_problems(
     absent = [c for c in fixed.SEGMENT_COLUMNS if c not in segments.columns]
     if absent:
         raise ValueError(f"segment table lacks {', '.join(absent)}")
-    found = failing_rows(segments, segment_rules(), "problem").select(
+    found = failing(segments, segment_rules(), "problem").select(
         F.col("road_segment_id").alias("subject"), F.explode(F.split("problem", ",")).alias("problem")
     )
     twice = repeated_keys(segments, ["road_segment_id"])

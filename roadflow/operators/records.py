@@ -16,8 +16,17 @@ TEXT_MARKER_COLUMNS = ("incident_type", "anomaly_type")
 
 
 def flatten_json(raw: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """Bytes or text holding one JSON object per row, as flat typed columns."""
-    return raw.select(F.from_json(F.col(value).cast("string"), schema).alias("record")).select("record.*")
+    """Bytes or text holding one JSON object per row, as flat typed columns; each record is parsed once."""
+    return raw.select(F.inline(F.array(F.from_json(F.col(value).cast("string"), schema))))
+
+
+def computed_once(df: DataFrame) -> DataFrame:
+    """The same rows, with their columns fixed here.
+
+    A filter on derived columns is otherwise pushed below the projection that derives them, and both then
+    evaluate the same expressions; a filter cannot pass a generator whose output it reads.
+    """
+    return df.select(F.inline(F.array(F.struct("*"))))
 
 
 def json_status(value: Column) -> Column:
@@ -82,14 +91,25 @@ def rejected(
     df: DataFrame, levels: Iterable[str] = fixed.RANKED_LEVELS, aliases: Mapping[str, str] | None = None
 ) -> DataFrame:
     """Rows that cleaning drops, with every reason in ``reasons``."""
-    codes = failed_codes({code: ~F.coalesce(ok, F.lit(False)) for code, ok in cleaning_rules(levels).items()})
-    return with_level_aliases(df, aliases).withColumn("reasons", codes).filter(F.col("reasons") != "")
+    failures = {code: ~F.coalesce(ok, F.lit(False)) for code, ok in cleaning_rules(levels).items()}
+    return failing(with_level_aliases(df, aliases), failures, "reasons")
 
 
 def failed_codes(failures: Mapping[str, Column]) -> Column:
-    """Comma-joined codes of the conditions that are true; empty text when none is."""
+    """Comma-joined codes of the conditions that are true; empty text when none is.
+
+    A long list of rules would become one generated method that the JVM leaves uncompiled; the array filter
+    keeps such a list out of whole-stage generation.
+    """
     codes = [F.when(condition, F.lit(code)) for code, condition in failures.items()]
-    return F.concat_ws(",", *codes)
+    if len(codes) <= 80:
+        return F.concat_ws(",", *codes)
+    return F.array_join(F.filter(F.array(*codes), lambda code: code.isNotNull()), ",")
+
+
+def failing(df: DataFrame, failures: Mapping[str, Column], target: str) -> DataFrame:
+    """Rows for which a condition is true, with the codes of all that are; the rules are evaluated once."""
+    return computed_once(df.withColumn(target, failed_codes(failures))).filter(F.col(target) != "")
 
 
 def raw_projection(df: DataFrame) -> DataFrame:

@@ -19,14 +19,17 @@ from roadflow.functions.times import floor_time, micros_between
 def with_previous(df: DataFrame, key: str, time: str, carried: Sequence[str], target: str = "previous") -> DataFrame:
     """Add the struct of ``carried`` columns of the row before, by time, within the key.
 
-    Needs one row per key and time.
+    Needs one row per key and time. The last rows carry all columns, so both branches below read the same
+    shuffled rows and the input is scanned once.
     """
     df = df.withColumn("_chunk", F.to_date(time))
     in_chunk = Window.partitionBy(key, "_chunk").orderBy(time)
     rows = df.withColumn("_before", F.lag(F.struct(*carried)).over(in_chunk))
-    ends = df.groupBy(key, "_chunk").agg(F.max_by(F.struct(*carried), F.col(time)).alias("_end"))
+    ends = df.groupBy(key, "_chunk").agg(F.max_by(F.struct(*df.columns), F.col(time)).alias("_end"))
     along = Window.partitionBy(key).orderBy("_chunk")
-    ends = ends.select(key, "_chunk", F.lag("_end").over(along).alias("_carry"))
+    before = F.col("_before")
+    carry = F.when(before.isNotNull(), F.struct(*[before[c].alias(c) for c in carried]))
+    ends = ends.withColumn("_before", F.lag("_end").over(along)).select(key, "_chunk", carry.alias("_carry"))
     return (
         rows.join(ends, [key, "_chunk"], "left")
         .withColumn(target, F.coalesce("_before", "_carry"))

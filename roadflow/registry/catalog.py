@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roadflow.functions import fixed
 from roadflow.operators.dedup import keep_first, keep_latest
-from roadflow.operators.records import clean
+from roadflow.operators.records import clean, computed_once
 from roadflow.operators.windows import window_metrics
 from roadflow.plans.staging import EVENT_TEXT, stage_events, stage_metrics
 from roadflow.registry.observations import AREAS_SQL, OBSERVATIONS_SQL, SEGMENTS_SQL, observations
@@ -40,7 +40,7 @@ def staged_events(spark: SparkSession, d: str) -> DataFrame:
 
 
 def valid_events(spark: SparkSession, d: str) -> DataFrame:
-    return clean(staged_events(spark, d))
+    return clean(computed_once(staged_events(spark, d)))
 
 
 def latest(spark: SparkSession, d: str) -> DataFrame:

@@ -21,7 +21,6 @@ from roadflow.functions.times import (
     iso_seconds,
     iso_weekday,
     plus_millis,
-    plus_minutes,
 )
 from roadflow.sources.files import message
 
@@ -54,21 +53,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def observations_of(events: DataFrame) -> DataFrame:
-    """Observations with typed times; works on a batch and on a stream."""
+    """Observations with typed times; works on a batch and on a stream.
+
+    Values are computed first and copies are made last, so a value is computed once for all its copies.
+    """
     n, user = F.col("event_id"), F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
     place = _segment(user)
-    slot = floor_second("ts")
-    incident = _choose(n % 9, INCIDENT_CHOICE)
+    read = events.select(
+        n,
+        user,
+        "ts",
+        "event_type",
+        "value",
+        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        floor_second("ts").alias("slot"),
+        place["road_segment_id"].alias("segment"),
+        _choose(n % 9, INCIDENT_CHOICE).alias("incident"),
+        F.when(F.col("event_type") == "purchase", F.array(F.lit(0), F.lit(1)))
+        .otherwise(F.array(F.lit(0)))
+        .alias("copies"),
+    )
+    k, slot, copy = F.col("k"), F.col("slot"), F.col("copy")
     delay = F.when(n % 23 == 0, k + 5).otherwise(F.lit(0))
-    sent = plus_minutes(plus_millis(slot, 60_200 + n * 37 % 4800), delay)
+    sent = plus_millis(slot, (delay * 60 + 60) * 1000 + 200 + n * 37 % 4800 + copy * (n % 29 + 1) * 1000)
     label = F.when(n % 23 == 0, "Delayed").when(n % 19 == 0, "nan").otherwise("None")
-    resent = F.when(F.col("event_type") == "purchase", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return events.withColumn("copy", F.explode(resent)).select(
-        event_key(place["road_segment_id"], slot).alias("event_id"),
+    return read.withColumn("copy", F.explode("copies")).select(
+        event_key("segment", "slot").alias("event_id"),
         slot.alias("event_ts"),
         place["area"].alias("area"),
-        place["road_segment_id"].alias("road_segment_id"),
+        F.col("segment").alias("road_segment_id"),
         F.when(n % 17 != 0, F.concat(F.lit("Road "), user.cast("string"))).alias("road_name"),
         F.when(n % 109 == 0, None)
         .when(n % 107 == 0, F.lit(0.0))
@@ -83,18 +96,18 @@ def observations_of(events: DataFrame) -> DataFrame:
         .alias("occupancy_pct"),
         lookup("event_type", LEVEL_OF_TYPE).alias("congestion_level"),
         _choose(n % 6, WEATHER_CHOICE).alias("weather"),
-        incident.alias("incident_type"),
+        F.col("incident").alias("incident_type"),
         F.when(n % 31 == 0, None)
         .when(n % 127 == 0, F.lit(-5))
-        .when(incident == "None", F.lit(0))
+        .when(F.col("incident") == "None", F.lit(0))
         .otherwise(k + 10)
         .alias("incident_duration_minutes"),
         ((iso_weekday("ts") >= 6) != (n % 83 == 0)).alias("is_weekend"),
         (F.hour("ts") + F.when(n % 89 == 0, 1).otherwise(0)).alias("hour_of_day"),
         day_name("ts").alias("day_of_week"),
         F.when(n % 131 == 0, "roadside").otherwise(fixed.DATA_SOURCE).alias("data_source"),
-        plus_millis(sent, F.col("copy") * (n % 29 + 1) * 1000).alias("generated_at"),
-        F.when(F.col("copy") == 1, "Duplicate").otherwise(label).alias("anomaly_type"),
+        sent.alias("generated_at"),
+        F.when(copy == 1, "Duplicate").otherwise(label).alias("anomaly_type"),
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from roadflow.functions import fixed
 from roadflow.operators import joins, quality
+from roadflow.operators.records import failing
 from roadflow.registry.catalog import latest, query, sql_list, staged_events
 from roadflow.registry.observations import messages, observations, segments, wire
 from roadflow.registry.q_joins import SEGMENT_FACTS, city
@@ -132,8 +133,7 @@ CROSS_SQL = sql_codes(
 )
 def cross_field_rules(spark, d):
     rows = joins.enrich(staged_events(spark, d), segments(spark, d), SEGMENT_FACTS)
-    failing = quality.failing_rows(rows, quality.cross_field_rules(60))
-    return failing.select("event_id", "anomaly_type", "failed")
+    return failing(rows, quality.cross_field_rules(60), "failed").select("event_id", "anomaly_type", "failed")
 
 
 _GONE = " OR ".join(f"{c} IS NULL" for c in fixed.OPTIONAL_COLUMNS)

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from roadflow.functions import fixed
 from roadflow.functions.labels import lookup
 from roadflow.functions.times import event_instant
-from roadflow.operators.records import failed_codes
+from roadflow.operators.records import failed_codes, failing
 
 SPARK_TYPES = {
     "string": T.StringType(),
@@ -22,13 +22,11 @@ SPARK_TYPES = {
     "integer": T.IntegerType(),
     "boolean": T.BooleanType(),
 }
-# JSON value kinds that satisfy a declared type; a number with a fraction is no integer.
-JSON_KINDS = {
-    "string": "^STRING$",
-    "number": "^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$",
-    "integer": "^(BIGINT|DECIMAL\\(\\d+,0\\))$",
-    "boolean": "^BOOLEAN$",
-}
+# JSON value kinds that satisfy a declared type, and how such a value is read; an integer is a number
+# without a fraction, however it is written.
+NUMBER_KINDS = ["BIGINT", "DOUBLE", "FLOAT", "DECIMAL"]
+JSON_KINDS = {"string": ["STRING"], "number": NUMBER_KINDS, "integer": NUMBER_KINDS, "boolean": ["BOOLEAN"]}
+JSON_READS = SPARK_TYPES | {"integer": T.DoubleType()}
 
 
 @dataclass(frozen=True)
@@ -92,7 +90,7 @@ class Contract:
 
     def violations(self, df: DataFrame, target: str = "violations") -> DataFrame:
         """Rows of typed columns that break the contract, with the codes of all broken rules."""
-        return df.withColumn(target, failed_codes(self.failures(df))).filter(F.col(target) != "")
+        return failing(df, self.failures(df), target)
 
     def json_violations(self, raw: DataFrame, value: str = "value", target: str = "violations") -> DataFrame:
         """Raw JSON rows with the codes of all broken rules; empty text for a valid record.
@@ -101,24 +99,32 @@ class Contract:
         field are told apart.
         """
         text = F.col(value).cast("string")
-        rows = raw.withColumn("_doc", F.try_parse_json(text)).withColumn("_keys", F.json_object_keys(text))
-        readable = F.col("_keys").isNotNull() & F.col("_doc").isNotNull()
+        read_as = T.StructType([T.StructField(f.name, JSON_READS[f.kind]) for f in self.fields])
+        parsed = F.struct(
+            F.try_parse_json(text).alias("_doc"),
+            F.json_object_keys(text).alias("_keys"),
+            F.from_json(text, read_as).alias("_typed"),
+        )
+        nodes = [F.try_variant_get("_doc", F.lit(f"$.{f.name}"), "variant") for f in self.fields]
+        rows = raw.select("*", F.inline(F.array(parsed))).withColumn(
+            "_kinds", F.transform(F.array(*nodes), lambda node: F.regexp_replace(F.schema_of_variant(node), r"\(.*", ""))
+        )
+        readable = F.col("_doc").isNotNull() & F.col("_keys").isNotNull()
         rules: dict[str, Column] = {"not_an_object": ~readable}
-        for f in self.fields:
-            node = F.try_variant_get("_doc", F.lit(f"$.{f.name}"), "variant")
-            kind = F.schema_of_variant(node)
-            absent = readable & ~F.array_contains("_keys", f.name)
+        for i, f in enumerate(self.fields):
+            kind, found = F.col("_kinds")[i], F.col(f"_typed.{f.name}")
             if f.name in self.required:
-                rules[f"missing:{f.name}"] = absent
+                rules[f"missing:{f.name}"] = readable & kind.isNull()
             if not f.nullable:
                 rules[f"null:{f.name}"] = kind == "VOID"
-            rules[f"type:{f.name}"] = (kind != "VOID") & ~kind.rlike(JSON_KINDS[f.kind])
-            rightly = kind.rlike(JSON_KINDS[f.kind])
-            typed = F.when(rightly, F.try_variant_get("_doc", F.lit(f"$.{f.name}"), SPARK_TYPES[f.kind].simpleString()))
-            rules |= f.value_failures(typed)
+            fits = kind.isin(JSON_KINDS[f.kind])
+            if f.kind == "integer":
+                fits = fits & (found == F.floor(found))
+            rules[f"type:{f.name}"] = (kind != "VOID") & ~fits
+            rules |= {code: fits & failure for code, failure in f.value_failures(found).items()}
         if self.closed:
             rules["undeclared"] = F.size(F.array_except("_keys", F.array(*[F.lit(n) for n in self.names]))) > 0
-        return rows.withColumn(target, failed_codes(rules)).drop("_doc", "_keys")
+        return rows.withColumn(target, failed_codes(rules)).drop("_doc", "_keys", "_typed", "_kinds")
 
     def conform(self, raw: DataFrame, value: str = "value") -> DataFrame:
         """Raw JSON rows as the declared columns in declared order: absent ones NULL, and the names of
