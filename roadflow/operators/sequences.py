@@ -9,6 +9,7 @@ ordered per segment has one row per day.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,13 +17,17 @@ from pyspark.sql import functions as F
 from roadflow.functions.times import floor_time, micros_between
 
 
+def present(*columns: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+
+
 def with_previous(df: DataFrame, key: str, time: str, carried: Sequence[str], target: str = "previous") -> DataFrame:
     """Add the struct of ``carried`` columns of the row before, by time, within the key.
 
-    Needs one row per key and time. The last rows carry all columns, so both branches below read the same
-    shuffled rows and the input is scanned once.
+    Needs one row per key and time. Both branches below keep the same columns and the same NULL filter, so
+    Spark reads one shuffle for both and scans the input once.
     """
-    df = df.withColumn("_chunk", F.to_date(time))
+    df = df.withColumn("_chunk", F.to_date(time)).filter(present(key, "_chunk"))
     in_chunk = Window.partitionBy(key, "_chunk").orderBy(time)
     rows = df.withColumn("_before", F.lag(F.struct(*carried)).over(in_chunk))
     ends = df.groupBy(key, "_chunk").agg(F.max_by(F.struct(*df.columns), F.col(time)).alias("_end"))
@@ -39,7 +44,7 @@ def with_previous(df: DataFrame, key: str, time: str, carried: Sequence[str], ta
 
 def observation_gaps(events: DataFrame, key: str = "road_segment_id", time: str = "event_ts") -> DataFrame:
     """One row per segment and observation time, with the time before it and the gap in seconds."""
-    times = events.dropna(subset=[key, time]).groupBy(key, time).agg(F.count(F.lit(1)).alias("observations"))
+    times = events.filter(present(key, time)).groupBy(key, time).agg(F.count(F.lit(1)).alias("observations"))
     gaps = with_previous(times, key, time, [time])
     return gaps.select(
         key,
@@ -59,7 +64,7 @@ def order_inversions(
     order against the group before it.
     """
     arrivals = (
-        events.dropna(subset=[key, arrival, time])
+        events.filter(present(key, arrival, time))
         .groupBy(key, arrival)
         .agg(F.count(F.lit(1)).alias("rows"), F.min(time).alias("first_ts"), F.max(time).alias("last_ts"))
     )
@@ -74,13 +79,15 @@ def episodes(
     """Runs of consecutive observations with the same labels, per segment.
 
     Runs are cut per (segment, day) chunk; the first run of a day joins the last one of the day before
-    when their labels are the same. At one time the labels are ordered by value.
+    when their labels are the same. At one time the labels are ordered by value. The days keep all columns of
+    the runs, so that both read the same shuffle.
     """
     rows = (
-        events.dropna(subset=[key, time])
+        events.filter(present(key, time))
         .groupBy(key, time, *labels)
         .agg(F.count(F.lit(1)).alias("observations"))
         .withColumn("_chunk", F.to_date(time))
+        .filter(present(key, "_chunk"))
     )
     label = F.struct(*labels)
     in_chunk = Window.partitionBy(key, "_chunk").orderBy(time, *labels)
@@ -102,9 +109,10 @@ def episodes(
         .agg(
             F.max("_run").alias("_runs"),
             F.min_by("_label", "_run").alias("_first"),
-            F.max_by("_label", "_run").alias("_last"),
+            F.max_by(F.struct("_label", "start_ts", "end_ts", "observations"), "_run").alias("_last"),
         )
-        .withColumn("_joins", F.lag("_last").over(along).eqNullSafe(F.col("_first")).cast("int"))
+        .withColumn("_before", F.lag("_last").over(along))
+        .withColumn("_joins", F.col("_before._label").eqNullSafe(F.col("_first")).cast("int"))
         .withColumn("_new", F.col("_runs") - F.col("_joins"))
         .withColumn("_offset", F.sum("_new").over(along) - F.col("_runs"))
         .select(key, "_chunk", "_offset")
@@ -132,7 +140,7 @@ def missing_observations(
     of the run stand in as steps just outside it.
     """
     step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes), F.lit(0))
-    seen = events.dropna(subset=[key, time]).groupBy(key, floor_time(time, minutes).alias("step"))
+    seen = events.filter(present(key, time)).groupBy(key, floor_time(time, minutes).alias("step"))
     seen = seen.agg(F.count(F.lit(1)).alias("n")).select(key, "step")
     first, last = F.min(floor_time(time, minutes)), F.max(floor_time(time, minutes))
     low, high = events.agg(first.cast("string"), last.cast("string")).first()
