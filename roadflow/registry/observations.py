@@ -35,15 +35,20 @@ def _choose(index: Column, values: list) -> Column:
     return lookup(index, {i: F.lit(v) for i, v in enumerate(values)})
 
 
+def _nth(index: Column, values: list[str]) -> Column:
+    """Value at a 0-based index; the split of a literal is folded into a constant array."""
+    return F.element_at(F.split(F.lit("|".join(values)), "[|]"), (index + 1).cast("int"))
+
+
 def _segment(number: Column) -> dict[str, Column]:
     """Segment identity and place of a segment number."""
     digits = F.floor(number / 10).cast("string")
     area_no = number % 10
     return {
-        "area_id": _choose(area_no, CODES),
-        "area": _choose(area_no, NAMES),
+        "area_id": _nth(area_no, CODES),
+        "area": _nth(area_no, NAMES),
         "road_segment_id": F.concat(
-            _choose(area_no, CODES), F.lit("-"), F.lpad(digits, F.greatest(F.lit(3), F.length(digits)), F.lit("0"))
+            _nth(area_no, CODES), F.lit("-"), F.lpad(digits, F.greatest(F.lit(3), F.length(digits)), F.lit("0"))
         ),
     }
 
