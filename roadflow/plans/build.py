@@ -5,13 +5,37 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from roadflow.functions import fixed
+from roadflow.functions.times import local_event_time, wall_clock
 from roadflow.operators.joins import one_per_key, star_join
 from roadflow.operators.quality import range_violations
 from roadflow.plans import marts, staging
 from roadflow.session import staged
-from roadflow.sources.tables import publish
+from roadflow.sources.contract import EVENT_SCHEMA
+from roadflow.sources.tables import load_new_files, publish
+
+RAW_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, T.StructField("event_ts", T.TimestampType())])
+METRIC_SCHEMA = T.StructType(
+    [
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("window_end", T.TimestampType()),
+        T.StructField("area", T.StringType()),
+        T.StructField("road_segment_id", T.StringType()),
+        T.StructField("road_name", T.StringType()),
+        T.StructField("event_count", T.LongType()),
+        T.StructField("avg_vehicle_count", T.DoubleType()),
+        T.StructField("avg_speed_kmph", T.DoubleType()),
+        T.StructField("avg_occupancy_pct", T.DoubleType()),
+        T.StructField("peak_congestion_rank", T.IntegerType()),
+        T.StructField("peak_congestion_level", T.StringType()),
+    ]
+)
+METRIC_TABLE_SCHEMA = T.StructType(
+    [T.StructField("total_events", T.LongType()) if f.name == "event_count" else f for f in METRIC_SCHEMA]
+)
 
 
 class BuildError(RuntimeError):
@@ -64,6 +88,36 @@ def models(raw_events: DataFrame, metrics: DataFrame, aliases: Mapping[str, str]
     )
 
 
+def typed_raw(raw: DataFrame, zone: str = fixed.TIME_ZONE) -> DataFrame:
+    """Stored raw events with both times as local wall-clock time, so that days are days of the road."""
+    return raw.withColumns(
+        {"event_ts": wall_clock("event_ts", zone), "generated_at": local_event_time("generated_at", zone)}
+    )
+
+
+def typed_metrics(metrics: DataFrame, zone: str = fixed.TIME_ZONE) -> DataFrame:
+    return metrics.withColumns({c: wall_clock(c, zone) for c in ("window_start", "window_end")})
+
+
+def load_then_build(
+    spark: SparkSession, lake: str, warehouse: str, aliases: Mapping[str, str] | None = None, **options
+) -> Marts:
+    """One run of the batch job: load the files that the stream added since the last run, then build.
+
+    ``lake`` holds the stream's raw and metrics folders, ``warehouse`` the loaded tables and load records.
+    """
+    loads = {
+        "raw": (RAW_SCHEMA, RAW_SCHEMA, None),
+        "metrics": (METRIC_SCHEMA, METRIC_TABLE_SCHEMA, {"event_count": "total_events"}),
+    }
+    for name, (given, wanted, renames) in loads.items():
+        target, done = f"{warehouse}/{name}", f"{warehouse}/loads/{name}"
+        load_new_files(spark, f"{lake}/{name}", given, target, wanted, done, renames=renames)
+    raw = spark.read.schema(RAW_SCHEMA).parquet(f"{warehouse}/raw")
+    metrics = spark.read.schema(METRIC_TABLE_SCHEMA).parquet(f"{warehouse}/metrics")
+    return build(typed_raw(raw), typed_metrics(metrics), aliases, **options)
+
+
 def build(
     raw_events: DataFrame,
     metrics: DataFrame,

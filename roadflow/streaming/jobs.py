@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from roadflow.functions import fixed
+from roadflow.functions.times import wall_clock
 from roadflow.operators import records
 from roadflow.operators.dedup import keep_first
 from roadflow.operators.windows import window_metrics
@@ -89,9 +90,9 @@ def run(
     aliases: Mapping[str, str] | None = None,
     delay: str = fixed.WATERMARK,
 ) -> tuple[StreamingQuery, StreamingQuery]:
-    """Start both sinks under one folder; raw events are partitioned by day so that readers can skip days."""
+    """Start both sinks under one folder; raw events are partitioned by local day so that readers can skip days."""
     cleaned = clean_stream(raw, lenient=lenient, aliases=aliases)
-    raw_rows = raw_branch(cleaned).withColumn("event_date", F.to_date("event_ts"))
+    raw_rows = raw_branch(cleaned).withColumn("event_date", F.to_date(wall_clock("event_ts")))
     raw_query = parquet_sink(
         raw_rows, "traffic_raw", f"{folder}/raw", f"{folder}/checkpoints/raw", ["event_date"], drain
     )

@@ -88,3 +88,34 @@ def test_no_python_runs_in_the_tasks(spark):
     for name in ("win5_agg", "contract_violations", "metric_model", "incident_episodes", "json_contract"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_stream_then_load_then_build(spark, tmp_path):
+    import json
+
+    from conftest import event
+    from roadflow.streaming import jobs
+
+    def arrive(name, *records):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / name).write_text("".join(json.dumps(r) + "\n" for r in records))
+
+    def cycle():
+        source = jobs.file_stream(spark, str(tmp_path / "in"))
+        jobs.wait(spark, *jobs.run(source, str(tmp_path / "lake"), drain=True))
+        return build.load_then_build(spark, str(tmp_path / "lake"), str(tmp_path / "warehouse"))
+
+    def at(clock, **changes):
+        stamp = f"2026-07-{clock}+05:30"
+        key = f"WFD-001_202607{clock.replace(':', '').replace('-', '')}"
+        return event(event_id=key, event_timestamp=stamp, generated_at=stamp.replace("+", ".000+"), **changes)
+
+    arrive("a.json", at("01T02:15:00"), at("01T02:15:00", anomaly_type="Duplicate", weather=" "), at("01T06:00:00"))
+    first = cycle()
+    assert first.events.count() == 2 and first.fact_5min.count() == 1
+    assert [r.date_key for r in first.dim_date.collect()] == [20260701]
+    arrive("b.json", at("02T02:15:00"), at("02T06:00:00", vehicle_count=7))
+    second = cycle()
+    assert second.events.count() == 4 and second.fact_5min.count() == 3
+    assert second.fact_5min.filter("total_events IS NULL OR peak_congestion_rank IS NULL").count() == 0
+    assert second.star_5min().filter("date_day IS NULL").count() == 0
