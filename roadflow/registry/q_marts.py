@@ -162,12 +162,13 @@ def order_inversions(spark, d):
 @query(
     "incident_episodes",
     """SELECT road_segment_id, episode, any_value(incident_type) AS incident_type, min(event_ts) AS start_ts,
-         max(event_ts) AS end_ts, count(*) AS observations
+         max(event_ts) AS end_ts, sum(n)::BIGINT AS observations
        FROM (SELECT *, sum(change) OVER (PARTITION BY road_segment_id ORDER BY event_ts, incident_type NULLS FIRST
            ROWS UNBOUNDED PRECEDING)::BIGINT AS episode
          FROM (SELECT *, CASE WHEN row_number() OVER w > 1 AND incident_type IS NOT DISTINCT FROM
              lag(incident_type) OVER w THEN 0 ELSE 1 END AS change
-           FROM stg WINDOW w AS (PARTITION BY road_segment_id ORDER BY event_ts, incident_type NULLS FIRST)))
+           FROM (SELECT road_segment_id, event_ts, incident_type, count(*) AS n FROM stg GROUP BY ALL)
+           WINDOW w AS (PARTITION BY road_segment_id ORDER BY event_ts, incident_type NULLS FIRST)))
        GROUP BY 1, 2""",
 )
 def incident_episodes(spark, d):
