@@ -2,14 +2,32 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def session(app: str = "roadflow", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with adaptive execution on; anything in ``conf`` (dots as ``__``) wins."""
+SHUFFLE_PARTITION_MB = 256
+
+
+def shuffle_width(gigabytes: float, cores: int = 8) -> int:
+    """Shuffle partitions of about 256 MB for the largest shuffle of a job, and at least one per core.
+
+    Adaptive execution merges partitions that turn out small, so a high number costs little; a low one makes
+    every task spill. Stateful streams keep the number they started with.
+    """
+    return max(cores, math.ceil(gigabytes * 1024 / SHUFFLE_PARTITION_MB))
+
+
+def session(
+    app: str = "roadflow", master: str | None = None, shuffle_gb: float | None = None, **conf: str
+) -> SparkSession:
+    """Session with adaptive execution on; anything in ``conf`` (dots as ``__``) wins.
+
+    ``shuffle_gb`` sizes the shuffles for a job whose largest one moves that much.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -21,6 +39,8 @@ def session(app: str = "roadflow", master: str | None = None, **conf: str) -> Sp
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
     }
+    if shuffle_gb is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_width(shuffle_gb))
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)

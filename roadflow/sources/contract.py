@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadflow.functions import fixed
-from roadflow.functions.labels import lookup
 from roadflow.functions.times import event_instant
 from roadflow.operators.records import failed_codes, failing
 

@@ -6,7 +6,7 @@ from roadflow.operators.records import clean
 from roadflow.operators.windows import window_metrics
 from roadflow.plans import build, marts, staging
 from roadflow.registry.observations import observations
-from roadflow.session import shared_folder, staged
+from roadflow.session import shared_folder, shuffle_width, staged
 
 SF = "/root/testdata/sf0.001"
 
@@ -82,6 +82,10 @@ def test_staged_tables_lie_in_the_shared_folder(spark):
     assert df.count() == 5 and "FileScan" in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_shuffle_width():
+    assert shuffle_width(0.1) == 8 and shuffle_width(10 * 1024) == 40960
+
+
 def test_no_python_runs_in_the_tasks(spark):
     from roadflow.registry import QUERIES
 
