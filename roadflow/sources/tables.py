@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,6 +62,45 @@ def load_new_files(
     return sum(p["numInputRows"] for p in query.recentProgress)
 
 
+def load_new_batches(
+    spark: SparkSession,
+    source: str,
+    source_schema: T.StructType,
+    target_path: str,
+    target_schema: T.StructType,
+    checkpoint: str,
+    day: Column,
+    renames: Mapping[str, str] | None = None,
+) -> None:
+    """As ``load_new_files``, into folders by load number and day.
+
+    A load that is repeated after a failure has the same number and the same rows, so it replaces its own
+    folders: every row is stored once, and later jobs can ask which days a load touched.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        (
+            by_name(batch, target_schema, renames)
+            .withColumns({"load_id": F.lit(number).cast("long"), "event_date": day})
+            .hint("rebalance", "event_date")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("load_id", "event_date")
+            .parquet(target_path)
+        )
+
+    reader = spark.readStream.schema(source_schema).option("ignoreCorruptFiles", True)
+    query = (
+        reader.option("recursiveFileLookup", True)
+        .parquet(source)
+        .writeStream.foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def layer_database(layer: str | None, default: str = "default") -> str:
     """Database of a model layer; models without a layer go to the default database."""
     return layer.strip() if layer else default
