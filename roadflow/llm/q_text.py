@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadflow.llm import language
+from roadflow.llm import decontaminate, language, licences
 from roadflow.llm.registry import query, table
 
 
 @query("op3_language")
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(table(spark, sf_dir, "documents"))
+
+
+@query("op5_licence_scan")
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scanned(table(spark, sf_dir, "documents"))
+
+
+@query("op6_decontaminate")
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
