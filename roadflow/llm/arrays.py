@@ -81,13 +81,17 @@ def pieces(offsets: np.ndarray, size: int = PIECE_BYTES) -> Iterator[tuple[int,
 
 
 class Rolling:
-    """Hashes of any stretch of a byte array from one running sum; equal stretches have equal hashes."""
+    """Hashes of any stretch of an array from one running sum; equal stretches have equal hashes.
+
+    The array holds bytes, or 64-bit hashes of larger units.
+    """
 
     def __init__(self, data: np.ndarray):
         n = len(data)
+        codes = BYTE_CODES[data] if data.dtype == np.uint8 else data
         powers, self.inverses = _FACTORS.upto(n + 1)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(BYTE_CODES[data] * powers[:n], dtype=np.uint64, out=self.sums[1:])
+        np.cumsum(codes * powers[:n], dtype=np.uint64, out=self.sums[1:])
 
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         raw = (self.sums[ends] - self.sums[starts]) * self.inverses[starts]
