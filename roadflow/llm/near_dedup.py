@@ -199,7 +199,7 @@ def components(links: DataFrame) -> DataFrame:
 def classes(
     docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, class_id (smallest doc_id of the class), class_size, n_links and kept.
+    """One row per row of ``docs``: doc_id, node, class_id (smallest doc_id of the class), class_size, n_links and kept.
 
     ``n_links`` counts the different texts that a document's text was found similar to. The row with the smallest
     doc_id of a class is kept (null is the largest; of repeated rows one). Equal texts are in one class, also texts
@@ -218,13 +218,16 @@ def classes(
         signed.select("doc_id", "node", "row")
         .join(labels, "node", "left")
         .join(degree, "node", "left")
-        .select("doc_id", "row", F.coalesce("label", "node").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        .select(
+            "doc_id", "node", "row", F.coalesce("label", "node").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+        )
     )
     labelled = staged(labelled, "labelled")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
     groups = labelled.groupBy("label").agg(best.alias("best"), F.count(F.lit(1)).alias("class_size"))
     return labelled.join(groups, "label").select(
         "doc_id",
+        "node",
         F.col("best.doc_id").alias("class_id"),
         "class_size",
         "n_links",
@@ -286,9 +289,10 @@ def _links(nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
 
 def without_near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one document of every class, that with the smallest doc_id; all columns stay."""
-    kept = classes(docs, similarity).filter("kept").select(F.col("doc_id").alias("kept_id"))
+    kept = classes(docs, similarity).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("node").alias("kept_node"))
     kept = staged(kept, "kept")
     rows = docs.select(F.struct(*docs.columns).alias("doc"), node(F.col("text")).alias("node"))
-    found = rows.join(kept, F.col("doc.doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    order = Window.partitionBy("doc.doc_id", "node").orderBy("node")
+    same = (F.col("node") == F.col("kept_node")) & F.col("doc.doc_id").eqNullSafe(F.col("kept_id"))
+    found = rows.join(kept, same, "left_semi")
+    order = Window.partitionBy("node", "doc.doc_id").orderBy("node")
     return found.withColumn("place", F.row_number().over(order)).filter("place = 1").select("doc.*")

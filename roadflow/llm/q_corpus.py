@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roadflow.llm import near_dedup, packing, substring_dedup
+from roadflow.llm import near_dedup, packing, substring_dedup, suffix_dedup
 from roadflow.llm.registry import query, table
 
 
@@ -16,10 +16,16 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_near_dedup")
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.classes(table(spark, sf_dir, "documents"))
+    return near_dedup.classes(table(spark, sf_dir, "documents")).drop("node")
 
 
 @query("op9_substring_dedup")
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

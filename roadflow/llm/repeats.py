@@ -72,11 +72,16 @@ class Anchored:
                 whole[a : b - size + 1] = True
         self.lowest = np.where(whole, self.lowest, np.uint64(0))
         if n < size:
-            self.positions = np.zeros(0, np.int64)
+            self.positions = self.same_before = np.zeros(0, np.int64)
             return
         padded = np.concatenate([np.zeros(width - 1, np.uint64), self.lowest, np.zeros(width - 1, np.uint64)])
         best = sliding_max(padded, width)
-        self.positions = np.flatnonzero((self.parts == best[: len(self.parts)]) & (self.parts > 0))
+        self.positions = at = np.flatnonzero((self.parts == best[: len(self.parts)]) & (self.parts > 0))
+        # For each anchor the last one before it with the same hash: of equal ones, a window has the first as its own.
+        order = np.lexsort((at, self.parts[at]))
+        self.same_before = np.full(len(at), -1)
+        again = self.parts[at[order[1:]]] == self.parts[at[order[:-1]]]
+        self.same_before[order[1:][again]] = at[order[:-1][again]]
 
     def texts(self, positions: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.first, positions, "right") - 1
@@ -95,7 +100,8 @@ class Anchored:
         own = np.repeat(np.arange(len(positions)), reach + 1)
         good = (starts >= 0) & (starts < len(self.lowest))
         starts, own = starts[good], own[good]
-        good = self.lowest[starts] == self.parts[positions[own]]
+        before = self.same_before[np.searchsorted(self.positions, positions)]
+        good = (self.lowest[starts] == self.parts[positions[own]]) & (before[own] < starts)
         return starts[good], own[good]
 
 
@@ -193,41 +199,76 @@ class _Sender:
         )
 
 
-def _unpacked(table: pa.Table) -> tuple[np.ndarray, ...]:
-    """kind, a, x, doc, pos of all entries of a bucket."""
-    parts = [[] for _ in range(5)]
-    for row in zip(*(table.column(c).to_pylist() for c in _NAMES[1:])):
-        kind, base, a, x, doc, pos = row
+Run = tuple[np.ndarray, ...]  # marked, a, x, doc, pos: sorted by a, x, doc, pos
+
+
+class Family:
+    """Sorted runs of suffixes in levels of doubling size, as a logarithmic index.
+
+    A new run is merged with the level of its size, as long as there is one. Merging puts equal contexts side by side:
+    what is settled by that is given out at once, and the level keeps only what stands for its context.
+    """
+
+    def __init__(self, rule: str):
+        self.rule, self.levels, self.settled = rule, {}, []
+
+    def add(self, run: Run) -> None:
+        while (level := len(run[0]).bit_length()) in self.levels:
+            run = self._merge(self.levels.pop(level), run)
+        if len(run[0]):
+            self.levels[level] = run
+
+    def all(self) -> Run:
+        runs = [self.levels[k] for k in sorted(self.levels)]
+        out = runs[0] if runs else tuple(np.zeros(0, t) for t in (bool, np.uint64, np.uint64, np.int64, np.int32))
+        for run in runs[1:]:
+            out = self._merge(out, run)
+        return out
+
+    def _merge(self, one: Run, two: Run) -> Run:
+        marked, a, x, doc, pos = (np.concatenate(c) for c in zip(one, two))
+        order = np.lexsort((pos, doc, x, a))
+        marked, a, x, doc, pos = (v[order] for v in (marked, a, x, doc, pos))
+        group = _first_of(a, x)
+        repeat, stands = _settle(self.rule, group, doc)
+        out = repeat & ~stands
+        self.settled.append((doc[out], pos[out]))
+        if self.rule == "anywhere":
+            marked = np.logical_or.reduceat(marked | repeat, np.flatnonzero(group))[np.cumsum(group) - 1]
+        return tuple(v[stands] for v in (marked, a, x, doc, pos))
+
+
+def _runs(table: pa.Table) -> Iterator[tuple[int, Run]]:
+    """Kind and entries of each packed row of a bucket."""
+    for kind, base, a, x, doc, pos in zip(*(table.column(c).to_pylist() for c in _NAMES[1:])):
         n = len(pos) // 4
         offset = np.frombuffer(doc, np.uint32 if len(doc) == 4 * n else np.uint64).astype(np.int64)
-        own = (np.full(n, kind), np.frombuffer(a, np.uint64), np.frombuffer(x, np.uint64), base + offset, np.frombuffer(pos, np.int32))
-        for part, values in zip(parts, own):
-            part.append(values)
-    return tuple(np.concatenate(p) for p in parts)
+        marked = np.full(n, kind == OPEN + 2)
+        yield (
+            kind,
+            (marked, np.frombuffer(a, np.uint64), np.frombuffer(x, np.uint64), base + offset, np.frombuffer(pos, np.int32)),
+        )
 
 
 def _merged(rule: str, table: pa.Table, compare: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """doc, pos and kind of the entries of a bucket that are settled, or that have to be compared by windows."""
-    kind, a, x, doc, pos = _unpacked(table)
-    passed = kind == SETTLED
-    out = [(doc[passed], pos[passed], np.full(int(passed.sum()), SETTLED))]
-    marked, a, x, doc, pos = (v[~passed] for v in (kind == OPEN + 2, a, x, doc, pos))
-    order = np.lexsort((pos, doc, x, a))
-    marked, a, x, doc, pos = (v[order] for v in (marked, a, x, doc, pos))
-    same = _first_of(a, x)
-    repeat, first = _settle(rule, same, doc)
-    if rule == "anywhere":
-        start = np.flatnonzero(same)
-        repeat |= np.logical_or.reduceat(marked, start)[np.cumsum(same) - 1] if len(start) else marked
-    out.append((doc[repeat], pos[repeat], np.full(int(repeat.sum()), SETTLED)))
-    if compare:
+    family, out = Family(rule), []
+    for kind, run in _runs(table):
+        if kind == SETTLED:
+            out.append((run[3], run[4]))
+        else:
+            family.add(run)
+    marked, a, x, doc, pos = family.all()
+    out += [*family.settled, (doc[marked], pos[marked])]
+    doc_, pos_ = (np.concatenate(c) for c in zip(*out))
+    found = [(doc_, pos_, np.full(len(doc_), SETTLED))]
+    if compare and len(a):
         begin = np.flatnonzero(_first_of(a))
-        contexts = np.add.reduceat(same.astype(np.int64), begin) if len(begin) else begin
+        contexts = np.add.reduceat(_first_of(a, x).astype(np.int64), begin)
         mixed = np.repeat(contexts > 1, np.diff(np.append(begin, len(a))))
-        # Of each context its first document stands for all; settled ones too, as they may match others in part.
-        chosen = mixed & first
-        out.append((doc[chosen], pos[chosen], np.full(int(chosen.sum()), OPEN)))
-    return tuple(np.concatenate(c) for c in zip(*out))
+        # What stands for a context stands for all that share it; settled ones may still match others in part.
+        found.append((doc[mixed], pos[mixed], np.full(int(mixed.sum()), OPEN)))
+    return tuple(np.concatenate(c) for c in zip(*found))
 
 
 def _exchange(entries: DataFrame, rule: str, compare: bool) -> DataFrame:
