@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -218,8 +219,6 @@ def with_language(docs: DataFrame, least: float = 0.4) -> DataFrame:
 
 
 def _best_share(model: Model):
-    import pandas as pd
-
     @F.pandas_udf("double")
     def share(texts: pd.Series) -> pd.Series:
         data, offsets = text_bytes(pa.array(texts, pa.large_string()))

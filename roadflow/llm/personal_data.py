@@ -157,12 +157,16 @@ def _observed(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, base array<{_SPAN}>, edges array<{_EDGE}>, seeds array<{_EDGE}>")
 
 
+def _is_cue():
+    return F.regexp_extract("pattern", r"^([a-z_]+)", 1).isin(sorted(CUES))
+
+
 def good_patterns(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Patterns with their confidence, from the graph of ``_observed`` rows; one row per pattern of any candidate.
 
     A pattern whose word is a cue starts as good; any other starts with the share of its occurrences that are seeds.
     """
-    cue = F.regexp_extract("pattern", r"^([a-z_]+)", 1).isin(sorted(CUES))
+    cue = _is_cue()
     graph = staged(
         rows.select(F.explode("edges").alias("e"), F.lit(0).alias("seed"))
         .unionByName(rows.select(F.explode("seeds").alias("e"), F.lit(1).alias("seed")))
@@ -203,7 +207,8 @@ def scanned(
     columns are not read. A found span never overlaps a base span.
     """
     rows = staged(_observed(docs).withColumn("row", F.monotonically_increasing_id()), "spans")
-    good = good_patterns(rows, rounds).filter((F.col("confidence") >= confidence) & (F.col("support") >= support))
+    good = good_patterns(rows, rounds).filter(F.col("confidence") >= confidence)
+    good = good.filter((F.col("support") >= support) | _is_cue())
     further = (
         rows.select("row", F.explode("edges").alias("e"))
         .filter("e.shaped")
