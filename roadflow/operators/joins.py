@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from roadflow.functions import fixed
 from roadflow.functions.congestion import incident_capacity, recovery_capacity, recovery_minutes
 from roadflow.functions.labels import rank_label
-from roadflow.functions.times import floor_time, is_weekend, micros_between
+from roadflow.functions.times import event_key, floor_time, is_weekend, micros_between
+from roadflow.operators.sequences import episodes
 from roadflow.operators.windows import weather_timeline
 
 
@@ -61,6 +62,25 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return only_fact.unionByName(only_dim)
 
 
+def incident_intervals(
+    events: DataFrame,
+    key: str = "road_segment_id",
+    time: str = "event_ts",
+    kind: str = "incident_type",
+    minutes: str = "incident_duration_minutes",
+    kinds: Sequence[str] = tuple(fixed.INCIDENTS[1:]),
+) -> DataFrame:
+    """One row per incident: every row of an incident carries its kind and its total duration.
+
+    An incident is a run of consecutive rows of a segment with the same kind and duration; it starts with the first of
+    them and lasts the duration from there on.
+    """
+    runs = episodes(events, [kind, minutes], key, time)
+    found = runs.filter(F.col(kind).isin(list(kinds)) & (F.col(minutes) > 0))
+    named = found.withColumn("incident_id", event_key(key, "start_ts")).drop("episode", "end_ts", "observations")
+    return incident_windows(named)
+
+
 def incident_windows(incidents: DataFrame, start: str = "start_ts") -> DataFrame:
     """Active end and recovery end of incidents given a start and ``incident_duration_minutes``."""
     seconds = F.col("incident_duration_minutes") * 60
@@ -116,6 +136,16 @@ def incident_phase(matches: DataFrame, kind: str = "active_incident", time: str
     )
 
 
+def least_capacity(
+    events: DataFrame, incidents: DataFrame, key: str = "event_id", kind: str = "active_incident"
+) -> DataFrame:
+    """Per event that an incident or its recovery covers: how many do, and the least capacity factor they leave."""
+    matches = incident_phase(incident_matches(events, incidents), kind)
+    return matches.groupBy(key).agg(
+        F.count(F.lit(1)).alias("incidents"), F.min("capacity_factor").alias("capacity_factor")
+    )
+
+
 def area_minute_weather(events: DataFrame, time: str = "event_ts", labels: Sequence[str] = fixed.WEATHER) -> DataFrame:
     """Each event with the weather that holds in its area at its minute."""
     grid = weather_timeline(events, time, labels).select("area", F.col("minute").alias("_minute"), "weather_rank")
