@@ -133,7 +133,6 @@ DAY_OF_WEEK_DEMAND = {
 # Stream settings and fault limits.
 WATERMARK = "10 minutes"
 WINDOW = "5 minutes"
-MAX_OFFSETS_PER_TRIGGER = 2000
 TOPIC = "traffic-events"
 DELAY_FROM_MINUTES = 5
 SPEED_CEILING = 100

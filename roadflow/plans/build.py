@@ -15,7 +15,7 @@ from roadflow.operators.quality import range_violations
 from roadflow.plans import marts, staging
 from roadflow.session import staged
 from roadflow.sources.contract import EVENT_SCHEMA
-from roadflow.sources.tables import load_new_files, publish
+from roadflow.sources.tables import load_errors, load_new_files, publish
 
 RAW_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, T.StructField("event_ts", T.TimestampType())])
 METRIC_SCHEMA = T.StructType(
@@ -71,11 +71,11 @@ class Marts:
 def models(raw_events: DataFrame, metrics: DataFrame, aliases: Mapping[str, str] | None = None) -> Marts:
     """All models over raw events and window metrics.
 
-    Five models read the deduplicated events, so those are written once; the dimensions are written too,
-    which gives joins with them a known size.
+    Several models read the deduplicated events and the windows, so those are written once; the dimensions are written
+    too, which gives joins with them a known size.
     """
     events = staged(marts.latest_events(staging.stage_events(raw_events, aliases)), "events")
-    windows = staging.stage_metrics(metrics, aliases)
+    windows = staged(staging.stage_metrics(metrics, aliases), "windows")
     return Marts(
         events=events,
         metrics=windows,
@@ -104,7 +104,8 @@ def load_then_build(
 ) -> Marts:
     """One run of the batch job: load the files that the stream added since the last run, then build.
 
-    ``lake`` holds the stream's raw and metrics folders, ``warehouse`` the loaded tables and load records.
+    ``lake`` holds the stream's raw and metrics folders, ``warehouse`` the loaded tables and load records, and in
+    ``load_errors`` by table what the loads left out.
     """
     loads = {
         "raw": (RAW_SCHEMA, RAW_SCHEMA, None),
@@ -113,6 +114,8 @@ def load_then_build(
     for name, (given, wanted, renames) in loads.items():
         target, done = f"{warehouse}/{name}", f"{warehouse}/loads/{name}"
         load_new_files(spark, f"{lake}/{name}", given, target, wanted, done, renames=renames)
+        errors = load_errors(spark, f"{lake}/{name}", given, wanted, renames=renames)
+        errors.write.mode("overwrite").parquet(f"{warehouse}/load_errors/{name}")
     raw = spark.read.schema(RAW_SCHEMA).parquet(f"{warehouse}/raw")
     metrics = spark.read.schema(METRIC_TABLE_SCHEMA).parquet(f"{warehouse}/metrics")
     return build(typed_raw(raw), typed_metrics(metrics), aliases, **options)
@@ -124,21 +127,20 @@ def build(
     aliases: Mapping[str, str] | None = None,
     stop_on_violation: bool = True,
 ) -> Marts:
-    """Publish staging and intermediate models as views and the marts as tables, then run the range test.
+    """Run the range test, then publish staging and intermediate models as views and the marts as tables.
 
-    Facts are partitioned by day, so a rerun over new days replaces only those.
+    A failing test leaves what was published before as it is. Facts are replaced as a whole: days that the input no
+    longer has are gone.
     """
-    built = models(raw_events, metrics, aliases)
     stage = staging.stage_events(raw_events, aliases)
+    if stop_on_violation and not range_violations(stage, ["event_id"]).isEmpty():
+        raise BuildError("events outside the plausible ranges; see range_violations()")
+    built = models(raw_events, metrics, aliases)
     publish(stage, "stg_traffic_events", "staging", "view")
     publish(built.metrics, "stg_traffic_metrics_5min", "staging", "view")
     publish(built.events, "int_traffic_events_deduplicated", "intermediate", "view")
     for name in ("dim_date", "dim_road_segment", "dim_weather", "dim_incident"):
         publish(getattr(built, name), name, "marts")
-    publish(built.fact_events, "fact_traffic_events", "marts", partition_by=["date_key"])
-    publish(built.fact_5min, "fact_traffic_5min", "marts", partition_by=["date_key"])
-    if stop_on_violation:
-        failing = range_violations(stage).limit(1).count()
-        if failing:
-            raise BuildError("events outside the plausible ranges; see range_violations()")
+    publish(built.fact_events, "fact_traffic_events", "marts", partition_by=["date_key"], whole=True)
+    publish(built.fact_5min, "fact_traffic_5min", "marts", partition_by=["date_key"], whole=True)
     return built

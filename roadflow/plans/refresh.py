@@ -85,7 +85,7 @@ def refresh(
         return tables[name].filter(F.col("event_date").isin(days[name])).drop("load_id", "event_date")
 
     stage = staging.stage_events(typed_raw(rows("raw")), aliases)
-    if range_violations(stage).limit(1).count():
+    if not range_violations(stage, ["event_id"]).isEmpty():
         raise BuildError("events outside the plausible ranges; see range_violations()")
     events = staged(marts.latest_events(stage), "events")
     windows = staged(staging.stage_metrics(typed_metrics(rows("metrics")), aliases), "windows")

@@ -36,7 +36,7 @@ RANGE_SQL = sql_codes(
     f"SELECT event_id, anomaly_type, {RANGE_SQL} AS failed FROM stg WHERE {RANGE_SQL} <> ''",
 )
 def range_violations(spark, d):
-    return quality.range_violations(staged_events(spark, d)).select("event_id", "anomaly_type", "failed")
+    return quality.range_violations(staged_events(spark, d), ["event_id", "anomaly_type"])
 
 
 VALUE_TESTS = [
@@ -73,7 +73,13 @@ def contract_violations(spark, d):
     return rows.select("event_id", "anomaly_type", "violations")
 
 
-_JSON_TESTS = [("undeclared", "anomaly_type = 'Delayed'")]
+_LATE = "anomaly_type = 'None' AND hour_of_day"
+_JSON_TESTS = [
+    ("offset:generated_at", f"{_LATE} = 7"),
+    ("undeclared", "anomaly_type = 'Delayed'"),
+    ("order:generated_at", f"{_LATE} = 9"),
+    ("key:event_id", f"{_LATE} = 8"),
+]
 _AREA = [("missing:area", "anomaly_type = 'Delayed'")]
 _COUNT = [("type:vehicle_count", "anomaly_type = 'nan'")]
 
@@ -87,7 +93,8 @@ def _json_tests() -> list[tuple[str, str]]:
             tests += _COUNT + [(code, f"anomaly_type <> 'nan' AND {test}")]
         else:
             tests.append((code, test))
-    return tests + _JSON_TESTS
+    at = [code for code, _ in tests].index("enum:anomaly_type")
+    return tests[:at] + _JSON_TESTS[:1] + tests[at:] + _JSON_TESTS[1:]
 
 
 @query(
@@ -96,14 +103,25 @@ def _json_tests() -> list[tuple[str, str]]:
          ELSE {sql_codes(_json_tests())} END AS violations FROM obs""",
 )
 def json_contract(spark, d):
-    """Raw messages, some broken: a renamed field, a number sent as text, a cut-off record."""
+    """Raw messages, some broken: a renamed field, a number sent as text, a cut-off record, another offset, the id of
+    another century, a record made before its event."""
     value, kind = F.col("value"), F.col("anomaly_type")
     renamed = F.replace(value, F.lit('"area":'), F.lit('"zone":'))
     quoted = F.regexp_replace(value, r'"vehicle_count":(-?\d+)', '"vehicle_count":"$1"')
     cut = F.left(value, (F.length(value) / 2).cast("int"))
+    moved = F.regexp_replace(value, r'("generated_at":"[^"]*)\+05:30"', '$1+05:00"')
+    other = F.regexp_replace(value, r'("event_id":"[^_]*_)20', "$119")
+    early = F.regexp_replace(value, r'"generated_at":"20', '"generated_at":"19')
+    late, hour = kind == "None", F.get_json_object(value, "$.hour_of_day")
     sent = messages(observations(spark, d)).withColumn(
         "value",
-        F.when(kind == "Delayed", renamed).when(kind == "nan", quoted).when(kind == "Duplicate", cut).otherwise(value),
+        F.when(kind == "Delayed", renamed)
+        .when(kind == "nan", quoted)
+        .when(kind == "Duplicate", cut)
+        .when(late & (hour == "7"), moved)
+        .when(late & (hour == "8"), other)
+        .when(late & (hour == "9"), early)
+        .otherwise(value),
     )
     return event_contract().json_violations(sent).drop("value")
 
@@ -169,7 +187,7 @@ _MISSING = sql_codes([(c, f"{c} IS NULL") for c in fixed.OPTIONAL_COLUMNS])
     f"SELECT event_id, anomaly_type, {_MISSING} AS missing_fields FROM obs WHERE {_GONE}",
 )
 def missing_optional(spark, d):
-    return quality.missing_optional(observations(spark, d)).select("event_id", "anomaly_type", "missing_fields")
+    return quality.missing_optional(observations(spark, d), keep=["event_id", "anomaly_type"])
 
 
 def _band_sql(seed: int) -> str:

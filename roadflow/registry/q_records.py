@@ -30,11 +30,11 @@ from roadflow.registry.catalog import (
     sql_rank,
     staged_events,
 )
-from roadflow.registry.observations import messages, observations, segments, wire
+from roadflow.registry.observations import messages, observations, segments, table, wire
 from roadflow.session import scratch_path
 from roadflow.sources import files
 from roadflow.sources.contract import EVENT_SCHEMA, event_contract
-from roadflow.sources.tables import by_name
+from roadflow.sources.tables import by_name, lost_values
 
 ISO = "strftime(event_ts, '%Y-%m-%dT%H:%M:%S') || '+05:30'"
 ISO_MS = "strftime(generated_at, '%Y-%m-%dT%H:%M:%S.%g') || '+05:30'"
@@ -107,6 +107,20 @@ def copy_by_name(spark, d):
     return by_name(source, T.StructType([EVENT_SCHEMA[c] for c in wanted]), {"count": "vehicle_count"})
 
 
+@query(
+    "load_errors",
+    """SELECT field, n FROM (
+         SELECT 'props' AS field, count(*) FILTER (props IS NOT NULL AND TRY_CAST(props AS BIGINT) IS NULL) AS n FROM events
+         UNION ALL SELECT 'kind', count(*) FILTER (event_type IS NOT NULL AND TRY_CAST(event_type AS INT) IS NULL) FROM events
+         UNION ALL SELECT 'user_id', count(*) FILTER (user_id IS NOT NULL AND TRY_CAST(user_id AS TINYINT) IS NULL) FROM events)
+       WHERE n > 0""",
+)
+def load_errors(spark, d):
+    """Values of the raw table that a load into other types would lose, by field."""
+    wanted = T.StructType.fromDDL("event_id bigint, kind int, props bigint, user_id tinyint, value string")
+    return lost_values(table(spark, d, "events"), wanted, {"event_type": "kind"})
+
+
 @query(
     "partition_roundtrip",
     """SELECT event_id, anomaly_type, vehicle_count, strftime(event_ts, '%Y') AS year,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from roadflow.functions import fixed
 from roadflow.functions.times import wall_clock
 from roadflow.operators.dedup import keep_latest
+from roadflow.operators.records import computed_once
 from roadflow.operators.windows import window_metrics
 from roadflow.registry.catalog import DECIMALS, VALID_SQL, query, sql_metrics, sql_only
 from roadflow.registry.observations import messages, observations_of, table
@@ -79,6 +80,29 @@ def stream_win5(spark, d):
     return rows.withColumns(times).select(*fixed.METRIC_COLUMNS)
 
 
+@query(
+    "stream_outputs",
+    f""", {CLEAN_SQL}
+    SELECT 'dead_letters' AS output, count(*) AS n FROM obs WHERE anomaly_type = 'Duplicate'
+    UNION ALL SELECT 'raw', count(*) FROM cleaned WHERE anomaly_type IS DISTINCT FROM 'Duplicate'
+    UNION ALL SELECT 'rejects', (SELECT count(*) FROM obs WHERE anomaly_type <> 'Duplicate')
+      - (SELECT count(*) FROM cleaned WHERE anomaly_type IS DISTINCT FROM 'Duplicate')""",
+)
+def stream_outputs(spark, d):
+    """Rows of the outputs that share the messages among them; copies arrive cut off in the middle."""
+    events = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parquet*")
+    value = F.col("value")
+    cut = F.when(F.col("anomaly_type") == "Duplicate", F.left(value, (F.length(value) / 2).cast("int"))).otherwise(value)
+    sent = computed_once(computed_once(messages(observations_of(events))).select(cut.alias("value")))
+    folder = scratch_path(spark, "outputs")
+    jobs.wait(spark, *jobs.run(sent, folder, drain=True, aliases=ALIASES))
+    counts = [
+        spark.read.parquet(f"{folder}/{name}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("output"), "n")
+        for name in ("raw", "rejects", "dead_letters")
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 _STATE_COLUMNS = "area, road_segment_id"
 
 

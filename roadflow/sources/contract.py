@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,7 +56,9 @@ class Field:
         if self.const is not None:
             failures["const"] = value != self.const
         if self.date_time:
-            failures["format"] = value.isNotNull() & event_instant(value).isNull()
+            known = event_instant(value).isNotNull()
+            failures["format"] = value.isNotNull() & ~known
+            failures["offset"] = known & ~value.endswith(fixed.UTC_OFFSET)
         return {f"{code}:{self.name}": condition for code, condition in failures.items()}
 
 
@@ -66,6 +68,8 @@ class Contract:
     required: frozenset[str] = frozenset()
     closed: bool = True  # undeclared fields are not allowed
     partitioning: tuple[str, ...] = field(default_factory=tuple)
+    across: Callable[[Callable[[str], Column]], dict[str, Column]] | None = None  # rules on several fields
+    needs: tuple[str, ...] = ()  # the fields they read
 
     @property
     def names(self) -> list[str]:
@@ -85,6 +89,8 @@ class Contract:
             if not f.nullable:
                 rules[f"null:{f.name}"] = value.isNull()
             rules |= f.value_failures(value)
+        if self.across and set(self.needs) <= set(df.columns):
+            rules |= self.across(F.col)
         return rules
 
     def violations(self, df: DataFrame, target: str = "violations") -> DataFrame:
@@ -95,18 +101,21 @@ class Contract:
         """Raw JSON rows with the codes of all broken rules; empty text for a valid record.
 
         Works on the document itself, so an absent field, a null, a value of another type and an undeclared
-        field are told apart.
+        field are told apart. The text is parsed once, into a variant; kinds, names and typed values come from that.
         """
-        text = F.col(value).cast("string")
-        read_as = T.StructType([T.StructField(f.name, JSON_READS[f.kind]) for f in self.fields])
-        parsed = F.struct(
-            F.try_parse_json(text).alias("_doc"),
-            F.json_object_keys(text).alias("_keys"),
-            F.from_json(text, read_as).alias("_typed"),
-        )
+        rows = raw.select("*", F.inline(F.array(F.struct(F.try_parse_json(F.col(value).cast("string")).alias("_doc")))))
         nodes = [F.try_variant_get("_doc", F.lit(f"$.{f.name}"), "variant") for f in self.fields]
-        rows = raw.select("*", F.inline(F.array(parsed))).withColumn(
-            "_kinds", F.transform(F.array(*nodes), lambda node: F.regexp_replace(F.schema_of_variant(node), r"\(.*", ""))
+        typed = [
+            F.try_variant_get("_doc", F.lit(f"$.{f.name}"), JSON_READS[f.kind].simpleString()).alias(f.name)
+            for f in self.fields
+        ]
+        entries = F.try_variant_get("_doc", F.lit("$"), "map<string, variant>")
+        rows = rows.select(
+            *raw.columns,
+            "_doc",
+            F.map_keys(entries).alias("_keys"),
+            F.struct(*typed).alias("_typed"),
+            F.transform(F.array(*nodes), lambda node: F.regexp_replace(F.schema_of_variant(node), r"\(.*", "")).alias("_kinds"),
         )
         readable = F.col("_doc").isNotNull() & F.col("_keys").isNotNull()
         rules: dict[str, Column] = {"not_an_object": ~readable}
@@ -123,6 +132,8 @@ class Contract:
             rules |= {code: fits & failure for code, failure in f.value_failures(found).items()}
         if self.closed:
             rules["undeclared"] = F.size(F.array_except("_keys", F.array(*[F.lit(n) for n in self.names]))) > 0
+        if self.across:
+            rules |= self.across(lambda name: F.col(f"_typed.{name}"))
         return rows.withColumn(target, failed_codes(rules)).drop("_doc", "_keys", "_typed", "_kinds")
 
     def conform(self, raw: DataFrame, value: str = "value") -> DataFrame:
@@ -136,6 +147,19 @@ class Contract:
         ).select("_record.*", "undeclared")
 
 
+def event_rules(value: Callable[[str], Column]) -> dict[str, Column]:
+    """Rules that tie an event's fields together; fields that are not what they should be break none of them.
+
+    A record is made after the event, and its id is its segment and its local time.
+    """
+    time = value("event_timestamp")
+    key = F.concat(value("road_segment_id"), F.lit("_"), F.translate(F.left(time, F.lit(19)), "-:", ""))
+    return {
+        "order:generated_at": event_instant(value("generated_at")) <= event_instant(time),
+        "key:event_id": event_instant(time).isNotNull() & (value("event_id") != key),
+    }
+
+
 def event_contract(**overrides: Field) -> Contract:
     """The traffic event contract; a keyword replaces the field of that name."""
     nullable = set(fixed.OPTIONAL_COLUMNS)
@@ -165,6 +189,8 @@ def event_contract(**overrides: Field) -> Contract:
         fields=tuple(overrides.get(f.name, f) for f in fields),
         required=frozenset(fixed.EVENT_COLUMNS),
         partitioning=tuple(fixed.PARTITION_COLUMNS),
+        across=event_rules,
+        needs=("event_id", "road_segment_id", "event_timestamp", "generated_at"),
     )
 
 
@@ -208,4 +234,4 @@ def level_name_contract(contract: Contract, names: Mapping[str, str], column: st
         Field(**{**f.__dict__, "enum": tuple(names.get(v, v) for v in f.enum)}) if f.name == column else f
         for f in contract.fields
     ]
-    return Contract(tuple(renamed), contract.required, contract.closed, contract.partitioning)
+    return replace(contract, fields=tuple(renamed))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadflow.functions.fixed import MAX_OFFSETS_PER_TRIGGER, TOPIC
+from roadflow.functions.fixed import TOPIC
 from roadflow.operators.records import split_dead_letters
 from roadflow.sources.files import keyed_json
 
@@ -14,17 +14,21 @@ def topic_stream(
     servers: str,
     topic: str = TOPIC,
     starting: str = "latest",
-    max_offsets: int = MAX_OFFSETS_PER_TRIGGER,
+    max_offsets: int | None = None,
 ) -> DataFrame:
-    """Rate-limited stream of a topic; ``starting`` only matters before the first checkpoint."""
-    return (
+    """Stream of a topic; ``starting`` only matters before the first checkpoint.
+
+    ``max_offsets`` limits a trigger. Without it each trigger takes all there is, so a topic never falls behind.
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
-        .option("maxOffsetsPerTrigger", max_offsets)
-        .load()
     )
+    if max_offsets is not None:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
+    return reader.load()
 
 
 def topic_records(spark: SparkSession, servers: str, topic: str = TOPIC) -> tuple[DataFrame, DataFrame]:

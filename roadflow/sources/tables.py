@@ -40,8 +40,10 @@ def load_new_files(
 ) -> int:
     """Append files not loaded before to a Parquet table; returns the number of loaded rows.
 
-    The checkpoint remembers the files, a restart repeats nothing, and unreadable files are skipped.
+    The checkpoint remembers the files, and a restart repeats nothing. Unreadable files are skipped, and values that do
+    not fit become NULL; ``load_errors`` reports both. Every batch is counted, however many there are.
     """
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 1_000_000)
     reader = (
         spark.readStream.schema(source_schema)
         .option("ignoreCorruptFiles", True)
@@ -62,6 +64,59 @@ def load_new_files(
     return sum(p["numInputRows"] for p in query.recentProgress)
 
 
+def cast_failures(df: DataFrame, target: T.StructType, renames: Mapping[str, str] | None = None) -> list[Column]:
+    """For each target column that is converted, the number of values that ``by_name`` turns into NULL."""
+    found = {c.lower(): c for c in df.columns}
+    old = {new.lower(): name for name, new in (renames or {}).items() if name.lower() in found}
+    counts = []
+    for f in target:
+        source = found.get(old.get(f.name.lower(), f.name).lower())
+        if source is None or df.schema[source].dataType == f.dataType:
+            continue
+        value = F.col(f"`{source}`")
+        lost = value.isNotNull() & value.try_cast(f.dataType).isNull()
+        counts.append(F.count(F.when(lost, 1)).alias(f.name))
+    return counts
+
+
+def lost_values(df: DataFrame, target: T.StructType, renames: Mapping[str, str] | None = None, by: Iterable[str] = ()) -> DataFrame:
+    """Rows (``by`` columns, field, n): values that a load by name cannot keep, for fields that lose any."""
+    by = list(by)
+    counts = cast_failures(df, target, renames)
+    if not counts:
+        return df.select(*by, F.lit("").alias("field"), F.lit(0).cast("long").alias("n")).limit(0)
+    found = df.groupBy(*by).agg(*counts)
+    return found.unpivot(by, [c for c in found.columns if c not in by], "field", "n").filter("n > 0")
+
+
+def load_errors(
+    spark: SparkSession,
+    source: str,
+    source_schema: T.StructType,
+    target_schema: T.StructType,
+    kind: str = "parquet",
+    renames: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """What a load of a folder leaves out: rows (file, field, n, reason).
+
+    Files that give no row (unreadable, or empty) have no field and no number; for the others, the number of values of
+    each field that did not fit its type. Only files' names and the converted columns are read.
+    """
+    def plain(path: Column) -> Column:
+        return F.regexp_replace(path, "^file:/+", "file:/")
+
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
+    listed = listed.select(plain(F.col("path")).alias("file"))
+    reader = spark.read.schema(source_schema).option("ignoreCorruptFiles", True).option("recursiveFileLookup", True)
+    rows = reader.format(kind).load(source).select("*", plain(F.col("_metadata.file_path")).alias("file"))
+    lost = lost_values(rows, target_schema, renames, ["file"]).withColumn("reason", F.lit("value does not fit"))
+    silent = listed.join(rows.select("file").distinct(), "file", "left_anti")
+    silent = silent.selectExpr(
+        "file", "CAST(NULL AS STRING) AS field", "CAST(NULL AS BIGINT) AS n", "'unreadable or empty' AS reason"
+    )
+    return lost.unionByName(silent)
+
+
 def load_new_batches(
     spark: SparkSession,
     source: str,
@@ -114,10 +169,18 @@ def source_table(spark: SparkSession, layer: str, name: str) -> DataFrame:
     return spark.table(table_name(name, layer))
 
 
-def publish(df: DataFrame, name: str, layer: str | None = None, kind: str = "table", partition_by: Iterable[str] = ()) -> str:
+def publish(
+    df: DataFrame,
+    name: str,
+    layer: str | None = None,
+    kind: str = "table",
+    partition_by: Iterable[str] = (),
+    whole: bool = False,
+) -> str:
     """Make a model visible as a view or as a table; returns its name.
 
-    A partitioned table that exists has only the partitions present in ``df`` replaced. Rows of a partition
+    A partitioned table that exists has only the partitions present in ``df`` replaced, or with ``whole`` all of them,
+    so that partitions that ``df`` no longer has are gone. Rows of a partition
     are brought together before the write, a large one over several tasks, so files stay few and even.
     """
     spark = df.sparkSession
@@ -134,7 +197,8 @@ def publish(df: DataFrame, name: str, layer: str | None = None, kind: str = "tab
         df = df.hint("rebalance", *parts)
     if parts and spark.catalog.tableExists(full):
         ordered = df.select(*spark.table(full).columns)
-        ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(full, overwrite=True)
+        mode = "static" if whole else "dynamic"
+        ordered.write.mode("overwrite").option("partitionOverwriteMode", mode).insertInto(full, overwrite=True)
     else:
         df.write.mode("overwrite").partitionBy(*parts).saveAsTable(full)
     return full

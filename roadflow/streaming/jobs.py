@@ -1,6 +1,6 @@
-"""The streaming job: one source, a raw sink and a five-minute metrics sink.
+"""The streaming job: one source; sinks for raw events, five-minute metrics, rejected records and dead letters.
 
-Both branches are the batch functions applied to a streaming DataFrame. Raw events are stored as they come;
+All branches are the batch functions applied to a streaming DataFrame. Raw events are stored as they come;
 only the metrics branch has a watermark, drops repeated ids and loses rows that come after their window
 closed.
 """
@@ -22,8 +22,11 @@ from roadflow.operators.windows import window_metrics
 from roadflow.sources.contract import EVENT_SCHEMA
 
 
-def file_stream(spark: SparkSession, path: str, max_files: int | None = 1, kind: str = "text") -> DataFrame:
-    """Replay of a folder of JSON-lines files in order of arrival, as the topic would deliver them."""
+def file_stream(spark: SparkSession, path: str, max_files: int | None = None, kind: str = "text") -> DataFrame:
+    """Replay of a folder of JSON-lines files in order of arrival, as the topic would deliver them.
+
+    ``max_files`` limits a trigger; 1 replays file by file.
+    """
     reader = spark.readStream.format(kind)
     if kind == "text":
         reader = reader.schema("value string")
@@ -40,8 +43,17 @@ def clean_stream(
     aliases: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Parsed, timed and cleaned events of a message stream (or of a batch of messages)."""
+    return records.clean(parsed_stream(raw, schema, lenient), levels, aliases)
+
+
+def parsed_stream(raw: DataFrame, schema: T.StructType = EVENT_SCHEMA, lenient: bool = False) -> DataFrame:
     parsed = records.with_event_time(records.flatten_json(raw, schema))
-    return records.clean(records.with_missing_markers_removed(parsed, lenient=lenient), levels, aliases)
+    return records.with_missing_markers_removed(parsed, lenient=lenient)
+
+
+def rejects_branch(parsed: DataFrame, aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """What cleaning drops, with the reasons."""
+    return records.rejected(parsed, aliases=aliases)
 
 
 def raw_branch(cleaned: DataFrame) -> DataFrame:
@@ -89,9 +101,16 @@ def run(
     lenient: bool = False,
     aliases: Mapping[str, str] | None = None,
     delay: str = fixed.WATERMARK,
-) -> tuple[StreamingQuery, StreamingQuery]:
-    """Start both sinks under one folder; raw events are partitioned by local day so that readers can skip days."""
-    cleaned = clean_stream(raw, lenient=lenient, aliases=aliases)
+) -> tuple[StreamingQuery, ...]:
+    """Start all sinks under one folder: raw, metrics, rejects and dead letters.
+
+    Every message is in exactly one of raw, rejects (readable, but dropped by cleaning, with the reasons) and
+    dead_letters (no JSON object, with the reason). Raw events are partitioned by local day so that readers can skip
+    days.
+    """
+    readable, dead = records.split_dead_letters(raw)
+    parsed = parsed_stream(readable, lenient=lenient)
+    cleaned = records.clean(parsed, aliases=aliases)
     raw_rows = raw_branch(cleaned).withColumn("event_date", F.to_date(wall_clock("event_ts")))
     raw_query = parquet_sink(
         raw_rows, "traffic_raw", f"{folder}/raw", f"{folder}/checkpoints/raw", ["event_date"], drain
@@ -103,14 +122,19 @@ def run(
         f"{folder}/checkpoints/metrics",
         drain=drain,
     )
-    return raw_query, metrics_query
+    others = {"rejects": rejects_branch(parsed, aliases), "dead_letters": dead}
+    return raw_query, metrics_query, *(
+        parquet_sink(df, f"traffic_{name}", f"{folder}/{name}", f"{folder}/checkpoints/{name}", drain=drain)
+        for name, df in others.items()
+    )
 
 
 def wait(spark: SparkSession, *queries: StreamingQuery) -> None:
     """Wait for the queries; the first failure stops the others and is raised."""
     try:
         while any(q.isActive for q in queries):
-            spark.streams.awaitAnyTermination()
+            # With a limit: a query that ended just before the reset below is not announced again.
+            spark.streams.awaitAnyTermination(1)
             for q in queries:
                 if q.exception() is not None:
                     raise q.exception()

@@ -39,12 +39,48 @@ def test_typed_violations(spark):
     ]
     found = [r.violations for r in event_contract().violations(wire(spark, *rows)).collect()]
     assert found == [
-        "pattern:event_id,minimum:latitude",
+        "pattern:event_id,minimum:latitude,key:event_id",
         "minimum:vehicle_count,enum:congestion_level",
         "null:incident_type,const:data_source,format:generated_at",
     ]
 
 
+def test_times_and_key_agree(spark):
+    late = event(generated_at="2026-07-01T08:14:00.000+05:30")
+    rows = [
+        event(generated_at="2026-07-01T02:46:01.500+00:00"),
+        event(event_timestamp="2026-07-01T08:15:00"),
+        late,
+        event(event_id="WFD-002_20260701T081500"),
+        event(event_id="WFD-001_20260702T081500"),
+        event(event_timestamp="bad"),
+    ]
+    wanted = ["offset:generated_at", "offset:event_timestamp", "order:generated_at", "key:event_id", "key:event_id", "format:event_timestamp"]
+    assert [r.violations for r in event_contract().violations(wire(spark, *rows)).collect()] == wanted
+    assert codes(spark, *rows) == wanted
+
+
+def test_load_errors_name_skipped_files_and_lost_values(spark, tmp_path):
+    source = str(tmp_path / "source")
+    schema = T.StructType.fromDDL("id string, n string, kept int")
+    wanted = T.StructType.fromDDL("id string, total bigint, kept int")
+    rows = [("a", "1", 1), ("b", "x", 2), ("c", None, 3), ("d", "y", 4)]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(source)
+    Path(source, "part-broken.parquet").write_bytes(b"no parquet")
+    found = tables.load_errors(spark, source, schema, wanted, renames={"n": "total"}).collect()
+    assert sorted((r.file.rsplit("/", 1)[1][:11], r.field, r.n, r.reason) for r in found) == [
+        ("part-00000-", "total", 2, "value does not fit"),
+        ("part-broken", None, None, "unreadable or empty"),
+    ]
+
+
+def test_whole_publish_drops_vanished_partitions(spark):
+    df = spark.createDataFrame([(1, 20260701), (2, 20260702)], "n int, date_key int")
+    tables.publish(df, "numbers_whole", "marts", partition_by=["date_key"], whole=True)
+    tables.publish(df.filter("n = 2"), "numbers_whole", "marts", partition_by=["date_key"], whole=True)
+    assert [tuple(r) for r in tables.source_table(spark, "marts", "numbers_whole").collect()] == [(2, 20260702)]
+
+
 def test_json_violations(spark):
     absent = event()
     del absent["area"]

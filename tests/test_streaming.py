@@ -39,7 +39,7 @@ def lake(tmp_path):
 
 
 def run(spark, folder, out, **options):
-    queries = jobs.run(jobs.file_stream(spark, str(folder.path)), out, drain=True, **options)
+    queries = jobs.run(jobs.file_stream(spark, str(folder.path), max_files=1), out, drain=True, **options)
     jobs.wait(spark, *queries)
     return queries
 
@@ -91,7 +91,7 @@ def test_one_file_per_trigger(spark, lake):
     folder, out = lake
     for minute in range(3):
         folder.arrive(at(f"08:0{minute}"), at(f"09:0{minute}"))
-    raw_query, _ = run(spark, folder, out)
+    raw_query, *_ = run(spark, folder, out)
     assert [p["numInputRows"] for p in raw_query.recentProgress if p["numInputRows"]] == [2, 2, 2]
 
 
@@ -116,10 +116,21 @@ def test_level_aliases_reach_the_metrics(spark, lake):
 def test_failure_stops_the_other_query(spark, lake, tmp_path):
     folder, out = lake
     folder.arrive(at("08:00"))
-    source = jobs.file_stream(spark, str(folder.path))
+    source = jobs.file_stream(spark, str(folder.path), max_files=1)
     failing = source.select(F.raise_error(F.lit("stop here")).cast("string").alias("value"))
     good = jobs.parquet_sink(source, "good", str(tmp_path / "good"), str(tmp_path / "good-cp"), interval="1 second")
     bad = jobs.parquet_sink(failing, "bad", str(tmp_path / "bad"), str(tmp_path / "bad-cp"), interval="1 second")
     with pytest.raises(StreamingQueryException):
         jobs.wait(spark, good, bad)
     assert not good.isActive and not bad.isActive
+
+
+def test_every_message_is_in_one_of_three_outputs(spark, lake):
+    folder, out = lake
+    folder.arrive(at("08:00"), "broken", "[1]", at("08:01", vehicle_count=-1), at("08:02", congestion_level="Odd"))
+    folder.arrive(at("08:03"), json.dumps({"event_id": "x"}))
+    run(spark, folder, out)
+    assert read(spark, out, "raw").count() == 2
+    assert sorted(r.reasons for r in read(spark, out, "rejects").collect())[-1] == "vehicle_count_negative"
+    assert read(spark, out, "rejects").count() == 3
+    assert sorted(r.value for r in read(spark, out, "dead_letters").collect()) == ["[1]", "broken"]
