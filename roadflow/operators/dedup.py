@@ -13,8 +13,13 @@ from pyspark.sql import functions as F
 
 
 def _top_one(df: DataFrame, keys: Sequence[str], order: list[Column]) -> DataFrame:
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.filter("_rank = 1").drop("_rank")
+    """First row of each key by the order; ties are settled by a hash of the other columns.
+
+    The hash is computed below the ranking, so only the columns that are used later are sorted and shuffled.
+    """
+    tied = df.withColumn("_tie", F.xxhash64(*_rest(df, keys))) if _rest(df, keys) else df.withColumn("_tie", F.lit(0))
+    ranked = tied.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order, "_tie")))
+    return ranked.filter("_rank = 1").drop("_rank", "_tie")
 
 
 def _rest(df: DataFrame, used: Iterable[str]) -> list[str]:
@@ -27,7 +32,7 @@ def keep_latest(
     df: DataFrame, keys: Sequence[str] = ("event_id",), newest: Sequence[str] = ("generated_at", "event_ts")
 ) -> DataFrame:
     """Newest row per key by the ``newest`` columns, NULLs last; rows with a NULL key are dropped."""
-    order = [F.col(c).desc_nulls_last() for c in (*newest, *_rest(df, (*keys, *newest)))]
+    order = [F.col(c).desc_nulls_last() for c in newest]
     return _top_one(df.dropna(subset=list(keys)), keys, order)
 
 
@@ -37,7 +42,7 @@ def keep_first(
     """First row per key. On a stream with a watermark the first arrival wins and old keys leave the state."""
     if df.isStreaming:
         return df.dropDuplicatesWithinWatermark(list(keys))
-    order = [F.col(c).asc_nulls_last() for c in (*oldest, *_rest(df, (*keys, *oldest)))]
+    order = [F.col(c).asc_nulls_last() for c in oldest]
     return _top_one(df.dropna(subset=list(keys)), keys, order)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadflow.functions import fixed
@@ -27,8 +27,13 @@ def range_rules() -> dict[str, Column]:
     return rules
 
 
-def range_violations(df: DataFrame) -> DataFrame:
-    return failing(df, range_rules(), "failed")
+def range_violations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows out of range and which fields are; of ``columns`` only if given, so that a scan reads no others."""
+    rules = range_rules()
+    if columns is None:
+        return failing(df, rules, "failed")
+    read = list(dict.fromkeys([*columns, *rules]))
+    return failing(df.select(*read), rules, "failed").select(*columns, "failed")
 
 
 def cross_field_rules(interval_seconds: int = 60) -> dict[str, Column]:
@@ -61,30 +66,55 @@ def congestion_mismatches(enriched: DataFrame, level: str = "congestion_level")
     )
 
 
-def missing_optional(df: DataFrame, columns: Sequence[str] = tuple(fixed.OPTIONAL_COLUMNS)) -> DataFrame:
-    """Rows with a NULL or NaN optional field, and which fields."""
+def absent_fields(df: DataFrame, columns: Sequence[str] = tuple(fixed.OPTIONAL_COLUMNS)) -> dict[str, Column]:
+    """For each field whether it is NULL or NaN."""
     kinds = dict(df.dtypes)
-    gone = {c: F.col(c).isNull() | F.isnan(c) if kinds[c] == "double" else F.col(c).isNull() for c in columns}
-    return failing(df, gone, "missing_fields")
+    return {c: F.col(c).isNull() | F.isnan(c) if kinds[c] == "double" else F.col(c).isNull() for c in columns}
+
+
+def missing_optional(
+    df: DataFrame, columns: Sequence[str] = tuple(fixed.OPTIONAL_COLUMNS), keep: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows with a NULL or NaN optional field, and which fields; of the ``keep`` columns only if given."""
+    gone = absent_fields(df, columns)
+    if keep is None:
+        return failing(df, gone, "missing_fields")
+    read = list(dict.fromkeys([*keep, *columns]))
+    return failing(df.select(*read), gone, "missing_fields").select(*keep, "missing_fields")
 
 
 def detect_anomalies(events: DataFrame, key: str = "event_id", segment_limit: str | None = None) -> DataFrame:
     """Label each row from its values: Duplicate, Delayed, Missing_Field, Invalid_Value, all that apply.
 
-    A duplicate is a row that arrived after the first arrival of its key. Only keys with several rows are
-    looked up, from a table written once, so the events are shuffled only if those keys are many.
+    A duplicate is every row of a key but one that arrived first. Only keys with several rows are looked up, from a
+    table written once, so the events are shuffled only if those keys are many. Rows that arrived first together are
+    folded by their whole content before they meet, so a hot id that was delivered again and again unchanged is no
+    large group; of n equal rows n - 1 are duplicates.
     """
+    columns = events.columns
+    arrival = F.struct(F.col("generated_at").isNull().alias("none"), "generated_at")
     repeated = staged(
         events.groupBy(key)
-        .agg(F.min("generated_at").alias("first_arrival"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min(arrival).alias("first"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
-        .drop("n"),
+        .select(key, F.col("first.generated_at").alias("first_arrival"), F.lit(True).alias("again")),
         "repeated-keys",
     )
+    known = events.join(repeated, key, "left").withColumn(
+        "_tied", F.col("again") & F.col("generated_at").eqNullSafe(F.col("first_arrival"))
+    )
+    folded = known.filter("_tied").groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    variant = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(*columns), *columns))
+    tied = folded.withColumn("_variant", variant).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    tied = tied.select(*columns, ((F.col("_variant") > 1) | (F.col("_copy") > 1)).alias("_duplicate"))
+    others = known.filter(~F.coalesce("_tied", F.lit(False))).select(
+        *columns, F.coalesce("again", F.lit(False)).alias("_duplicate")
+    )
+    events = others.unionByName(tied)
     limit = F.col(segment_limit) if segment_limit else F.lit(fixed.SPEED_CEILING)
     absent = F.lit(False)
-    for c in fixed.OPTIONAL_COLUMNS:
-        absent = absent | F.col(c).isNull()
+    for gone in absent_fields(events).values():
+        absent = absent | gone
     invalid = [
         F.col("vehicle_count") < 0,
         F.col("avg_speed_kmph") > limit,
@@ -96,12 +126,12 @@ def detect_anomalies(events: DataFrame, key: str = "event_id", segment_limit: st
         bad = bad | F.coalesce(condition, F.lit(False))
     late = micros_between("event_ts", "generated_at") >= fixed.DELAY_FROM_MINUTES * 60_000_000
     found = {
-        "Duplicate": F.col("generated_at") > F.col("first_arrival"),
+        "Duplicate": F.col("_duplicate"),
         "Delayed": late,
         "Missing_Field": absent,
         "Invalid_Value": bad,
     }
-    return events.join(repeated, key, "left").withColumn("detected", failed_codes(found)).drop("first_arrival")
+    return events.withColumn("detected", failed_codes(found)).drop("_duplicate")
 
 
 def anomaly_rates(df: DataFrame, label: str = "anomaly_type") -> DataFrame:

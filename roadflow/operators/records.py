@@ -98,13 +98,11 @@ def rejected(
 def failed_codes(failures: Mapping[str, Column]) -> Column:
     """Comma-joined codes of the conditions that are true; empty text when none is.
 
-    A long list of rules would become one generated method that the JVM leaves uncompiled; the array filter
-    keeps such a list out of whole-stage generation.
+    Of an array, because a long list of rules in one text function would become one generated method that the JVM
+    leaves uncompiled.
     """
     codes = [F.when(condition, F.lit(code)) for code, condition in failures.items()]
-    if len(codes) <= 80:
-        return F.concat_ws(",", *codes)
-    return F.array_join(F.filter(F.array(*codes), lambda code: code.isNotNull()), ",")
+    return F.array_join(F.array_compact(F.array(*codes)), ",")
 
 
 def failing(df: DataFrame, failures: Mapping[str, Column], target: str) -> DataFrame:

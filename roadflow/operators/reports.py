@@ -35,17 +35,24 @@ def _hours(hours: Sequence[int]) -> Column:
 
 
 def peak_night_ratio(
-    events: DataFrame, keys: Sequence[str], peak: Sequence[int] = (9, 10, 18, 19), night: Sequence[int] = (2, 3, 4)
+    events: DataFrame,
+    keys: Sequence[str],
+    peak: Sequence[int] = (9, 10, 18, 19),
+    night: Sequence[int] = (2, 3, 4),
+    decimals: int | None = None,
 ) -> DataFrame:
-    """Average count at peak hours against the night hours, and the average speed of both."""
+    """Average count at peak hours against the night hours, and the average speed of both.
+
+    ``decimals`` are those the speed is recorded with; without it readings are summed as they are.
+    """
     busy = F.avg(F.when(_hours(peak), F.col("vehicle_count")))
     quiet = F.avg(F.when(_hours(night), F.col("vehicle_count")))
     return events.groupBy(*keys).agg(
         F.round(busy, 6).alias("peak_vehicles"),
         F.round(quiet, 6).alias("night_vehicles"),
         F.round(busy / F.nullif(quiet, F.lit(0.0)), 6).alias("peak_to_night"),
-        mean(F.when(_hours(peak), F.col("avg_speed_kmph")), 2, 2).alias("peak_speed"),
-        mean(F.when(_hours(night), F.col("avg_speed_kmph")), 2, 2).alias("night_speed"),
+        mean(F.when(_hours(peak), F.col("avg_speed_kmph")), 2, decimals).alias("peak_speed"),
+        mean(F.when(_hours(night), F.col("avg_speed_kmph")), 2, decimals).alias("night_speed"),
     )
 
 
@@ -135,14 +142,16 @@ def event_frontier(events: DataFrame, keys: Sequence[str] = (), time: str = "eve
     return events.groupBy(*keys).agg(F.max(time).alias("frontier"))
 
 
-def condition_impact(events: DataFrame, condition: str, base: str, decimals: int = 2) -> DataFrame:
+def condition_impact(events: DataFrame, condition: str, base: str, decimals: int | None = None) -> DataFrame:
     """Average speed and count per condition, and speed against the base condition.
 
-    Sums are kept whole, so the base row is found among the groups without another pass over the events.
+    Sums are kept whole, so the base row is found among the groups without another pass over the events. ``decimals``
+    are those the speed is recorded with, which makes its sum exact; without it readings are summed as they are.
     """
+    total = F.sum("avg_speed_kmph") if decimals is None else scaled_sum("avg_speed_kmph", decimals)
     groups = events.groupBy(condition).agg(
         F.count("avg_speed_kmph").alias("observations"),
-        scaled_sum("avg_speed_kmph", decimals).alias("_speed"),
+        total.alias("_speed"),
         F.sum("vehicle_count").alias("_vehicles"),
         F.count("vehicle_count").alias("_counts"),
     )
@@ -151,18 +160,20 @@ def condition_impact(events: DataFrame, condition: str, base: str, decimals: int
     return groups.select(
         condition,
         "observations",
-        rounded_ratio(F.col("_speed"), F.col("observations"), decimals).alias("avg_speed_kmph"),
+        (F.round(speed, 2) if decimals is None else rounded_ratio(F.col("_speed"), F.col("observations"), decimals)).alias(
+            "avg_speed_kmph"
+        ),
         rounded_ratio(F.col("_vehicles"), F.col("_counts"), 0).alias("avg_vehicle_count"),
         F.round(speed / reference, 4).alias("speed_vs_base"),
     )
 
 
-def weather_impact(events: DataFrame) -> DataFrame:
-    return condition_impact(events, "weather", fixed.WEATHER[0])
+def weather_impact(events: DataFrame, decimals: int | None = None) -> DataFrame:
+    return condition_impact(events, "weather", fixed.WEATHER[0], decimals)
 
 
-def incident_impact(events: DataFrame) -> DataFrame:
-    return condition_impact(events, "incident_type", fixed.INCIDENTS[0])
+def incident_impact(events: DataFrame, decimals: int | None = None) -> DataFrame:
+    return condition_impact(events, "incident_type", fixed.INCIDENTS[0], decimals)
 
 
 def arrival_lag(events: DataFrame, keys: Sequence[str] = ("anomaly_type",)) -> DataFrame:

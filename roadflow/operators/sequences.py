@@ -21,13 +21,15 @@ def present(*columns: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
 
-def with_previous(df: DataFrame, key: str, time: str, carried: Sequence[str], target: str = "previous") -> DataFrame:
+def with_previous(
+    df: DataFrame, key: str, time: str, carried: Sequence[str], target: str = "previous", chunk: str = "DAY"
+) -> DataFrame:
     """Add the struct of ``carried`` columns of the row before, by time, within the key.
 
-    Needs one row per key and time. Both branches below keep the same columns and the same NULL filter, so
+    Needs one row per key and time; ``chunk`` is the stretch of time that one task sorts. Both branches below keep the same columns and the same NULL filter, so
     Spark reads one shuffle for both and scans the input once.
     """
-    df = df.withColumn("_chunk", F.to_date(time)).filter(present(key, "_chunk"))
+    df = df.withColumn("_chunk", F.date_trunc(chunk, time)).filter(present(key, "_chunk"))
     in_chunk = Window.partitionBy(key, "_chunk").orderBy(time)
     rows = df.withColumn("_before", F.lag(F.struct(*carried)).over(in_chunk))
     ends = df.groupBy(key, "_chunk").agg(F.max_by(F.struct(*df.columns), F.col(time)).alias("_end"))
@@ -68,7 +70,8 @@ def order_inversions(
         .groupBy(key, arrival)
         .agg(F.count(F.lit(1)).alias("rows"), F.min(time).alias("first_ts"), F.max(time).alias("last_ts"))
     )
-    steps = with_previous(arrivals, key, arrival, ["last_ts"])
+    # Arrivals have milliseconds, so a day of a busy segment holds too many of them for one task.
+    steps = with_previous(arrivals, key, arrival, ["last_ts"], chunk="HOUR")
     late = F.when(F.col("first_ts") < F.col("previous.last_ts"), 1)
     return steps.groupBy(key).agg(F.sum("rows").alias("observations"), F.count(late).alias("inversions"))
 
@@ -142,13 +145,8 @@ def missing_observations(
     step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes), F.lit(0))
     seen = events.filter(present(key, time)).groupBy(key, floor_time(time, minutes).alias("step"))
     seen = seen.agg(F.count(F.lit(1)).alias("n")).select(key, "step")
-    first, last = F.min(floor_time(time, minutes)), F.max(floor_time(time, minutes))
-    low, high = events.agg(first.cast("string"), last.cast("string")).first()
-    if low is None:
-        return seen.limit(0)
-    kind = seen.schema["step"].dataType
-    before, after = F.lit(low).cast(kind) - step, F.lit(high).cast(kind) + step
-    bounds = seen.groupBy(key).agg(F.lit(True)).select(key, F.explode(F.array(before, after)).alias("step"))
+    low, high = seen.agg(F.min("step")).scalar(), seen.agg(F.max("step")).scalar()
+    bounds = seen.groupBy(key).agg(F.lit(True)).select(key, F.explode(F.array(low - step, high + step)).alias("step"))
     walk = with_previous(seen.unionByName(bounds), key, "step", ["step"])
     hole = F.sequence(F.col("previous.step") + step, F.col("step") - step, step)
     return walk.filter(F.col("step") - step > F.col("previous.step")).select(key, F.explode(hole).alias("step"))

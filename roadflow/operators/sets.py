@@ -15,8 +15,14 @@ def union_all(tables: dict[str, DataFrame], source: str = "source") -> DataFrame
 
 
 def only_in_first(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
-    """Distinct values of the first table that the second does not have."""
-    return a.select(*columns).subtract(b.select(*columns))
+    """Distinct values of the first table that the second does not have.
+
+    Both sides are reduced where they are read and meet in one grouping, so a value that fills a large part of either
+    table arrives once from each task.
+    """
+    left = a.select(*columns).withColumn("_second", F.lit(0))
+    right = b.select(*columns).withColumn("_second", F.lit(1))
+    return left.unionByName(right).groupBy(*columns).agg(F.max("_second").alias("_second")).filter("_second = 0").drop("_second")
 
 
 def compare_sets(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:

@@ -64,7 +64,7 @@ _PEAK, _NIGHT = "hour_of_day IN (9, 10, 18, 19)", "hour_of_day IN (2, 3, 4)"
          {sql_mean(f'CASE WHEN {_NIGHT} THEN avg_speed_kmph END', 2)} AS night_speed FROM latest GROUP BY 1)""",
 )
 def peak_night_ratio(spark, d):
-    return reports.peak_night_ratio(latest(spark, d), ["area"])
+    return reports.peak_night_ratio(latest(spark, d), ["area"], decimals=2)
 
 
 @query(
@@ -191,12 +191,12 @@ def _impact_sql(column: str, base: str) -> str:
 
 @query("weather_impact", _impact_sql("weather", "Clear"))
 def weather_impact(spark, d):
-    return reports.weather_impact(latest(spark, d))
+    return reports.weather_impact(latest(spark, d), 2)
 
 
 @query("incident_impact", _impact_sql("incident_type", "None"))
 def incident_impact(spark, d):
-    return reports.incident_impact(latest(spark, d))
+    return reports.incident_impact(latest(spark, d), 2)
 
 
 @query(
