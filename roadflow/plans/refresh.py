@@ -1,7 +1,8 @@
 """The incremental build: load what is new, rebuild only the days it touched.
 
-An event id carries its event time, so all records of an id lie in one day, and a day's facts depend on that
-day's rows alone. Facts of the touched days are replaced; dimensions are merged with their tables.
+An event id carries its event time, so the records of an id normally lie in one day, and a day's facts depend on that
+day's rows alone. Where a record was sent again under the same id for another day, the day that has the id so far is
+rebuilt as well. Facts of those days are replaced; dimensions are merged with their tables.
 """
 
 from __future__ import annotations
@@ -49,6 +50,24 @@ def touched_days(table: DataFrame, after: int) -> list[date]:
     return sorted(r.event_date for r in days.dropna().collect())
 
 
+def moved_days(table: DataFrame, after: int, facts: str) -> list[date]:
+    """Days whose published facts hold an id that a later load brings, whatever day it brings it for."""
+    spark = table.sparkSession
+    if not spark.catalog.tableExists(facts):
+        return []
+    ids = table.filter(F.col("load_id") > after).select("event_id").dropna().distinct()
+    found = spark.table(facts).join(ids, "event_id", "left_semi").select(F.to_date("event_ts").alias("day")).distinct()
+    return sorted(r.day for r in found.collect())
+
+
+def drop_days(spark: SparkSession, full: str, days: list[date], present: DataFrame) -> None:
+    """Remove the partitions of rebuilt days that have no fact left."""
+    left = {r.date_key for r in present.select("date_key").distinct().collect()}
+    for key in {int(d.strftime("%Y%m%d")) for d in days} - left:
+        if spark.catalog.tableExists(full):
+            spark.sql(f"ALTER TABLE {full} DROP IF EXISTS PARTITION (date_key = {key})")
+
+
 def merged(new: DataFrame, name: str, layer: str) -> DataFrame:
     """The rows of a published table together with new ones."""
     full = table_name(name, layer)
@@ -80,6 +99,8 @@ def refresh(
     days = {name: touched_days(table, done[name]) for name, table in tables.items()}
     if not any(days.values()):
         return []
+    facts = table_name("fact_traffic_events", layer)
+    days["raw"] = sorted({*days["raw"], *moved_days(tables["raw"], done["raw"], facts)})
 
     def rows(name: str) -> DataFrame:
         return tables[name].filter(F.col("event_date").isin(days[name])).drop("load_id", "event_date")
@@ -91,6 +112,7 @@ def refresh(
     windows = staged(staging.stage_metrics(typed_metrics(rows("metrics")), aliases), "windows")
 
     publish(marts.fact_events(events), "fact_traffic_events", layer, partition_by=["date_key"])
+    drop_days(spark, facts, days["raw"], marts.fact_events(events))
     publish(marts.fact_5min(windows), "fact_traffic_5min", layer, partition_by=["date_key"])
     distinct = {
         "dim_date": marts.dim_date(events, windows),

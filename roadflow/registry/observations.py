@@ -36,8 +36,8 @@ def _choose(index: Column, values: list) -> Column:
 
 
 def _nth(index: Column, values: list[str]) -> Column:
-    """Value at a 0-based index; the split of a literal is folded into a constant array."""
-    return F.element_at(F.split(F.lit("|".join(values)), "[|]"), (index + 1).cast("int"))
+    """Value at a 0-based index of a constant array."""
+    return F.element_at(F.array(*map(F.lit, values)), (index + 1).cast("int"))
 
 
 def _segment(number: Column) -> dict[str, Column]:

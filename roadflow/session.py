@@ -68,8 +68,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_staged_paths: list[str] = []
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the tables that ``staged`` has written so far; returns how many.
+
+    For a caller that is done with everything that was built on them: what a build returns still reads them.
+    """
+    fs, done = spark._jvm.org.apache.hadoop.fs, 0
+    while _staged_paths:
+        path = fs.Path(_staged_paths.pop())
+        done += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return done
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write a result once to the shared folder and read it back.
+    """Write a result once to the shared folder and read it back; ``drop_staged`` removes it again.
 
     Later readers share the work and survive lost executors, and Spark knows the size of the written
     table: a join broadcasts it when that size is below ``spark.sql.autoBroadcastJoinThreshold`` and
@@ -77,5 +92,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _staged_paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

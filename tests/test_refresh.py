@@ -49,3 +49,31 @@ def test_only_touched_days_are_rebuilt(spark, tmp_path):
     assert table("fact_traffic_events").select(*full.columns).exceptAll(full).count() == 0
     assert table("fact_traffic_events").count() == full.count()
     assert loaded(spark, warehouse, "raw").count() == 7
+
+
+def test_an_id_that_moves_to_another_day_leaves_the_old_one(spark, tmp_path):
+    lake, warehouse, layer = str(tmp_path / "lake"), str(tmp_path / "warehouse"), "marts_moved"
+    (tmp_path / "in").mkdir()
+
+    def cycle(name, *records):
+        (tmp_path / "in" / name).write_text("".join(json.dumps(r) + "\n" for r in records))
+        jobs.wait(spark, *jobs.run(jobs.file_stream(spark, str(tmp_path / "in")), lake, drain=True))
+        return refresh(spark, lake, warehouse, layer=layer)
+
+    cycle("a.json", at("01", "02:15"), at("02", "03:00"), at("02", "04:00"))
+    again = at("03", "02:15", sent="2026-07-03T09:00:00.000+05:30") | {"event_id": at("01", "02:15")["event_id"]}
+    other = at("03", "03:00", sent="2026-07-03T09:00:00.000+05:30") | {"event_id": at("02", "03:00")["event_id"]}
+    assert cycle("b.json", again, other) == [date(2026, 7, 1), date(2026, 7, 2), date(2026, 7, 3)]
+    facts = spark.table(f"{layer}.fact_traffic_events").groupBy("date_key").count().collect()
+    assert {r.date_key: r["count"] for r in facts} == {20260702: 1, 20260703: 2}
+
+
+def test_staged_tables_can_be_dropped(spark):
+    from roadflow.session import drop_staged, staged
+
+    path = staged(spark.range(3), "numbers").inputFiles()[0]
+    assert drop_staged(spark) >= 1 and drop_staged(spark) == 0
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    assert not Path(urlparse(path).path).exists()
