@@ -46,6 +46,25 @@ def keep_first(
     return _top_one(df.dropna(subset=list(keys)), keys, order)
 
 
+def repeated_deliveries(
+    df: DataFrame, compared: Sequence[str], key: str = "event_id", arrival: str = "generated_at"
+) -> DataFrame:
+    """Per key that came more than once, by count and not by label: deliveries, whether all rows agree, and the seconds
+    from the first arrival to the last (0 when it was sent again unchanged)."""
+    row = F.struct(*compared)
+    millis = F.timestamp_diff("MILLISECOND", F.min(arrival), F.max(arrival))
+    return (
+        df.dropna(subset=[key])
+        .groupBy(key)
+        .agg(
+            F.count(F.lit(1)).alias("deliveries"),
+            F.min(row).eqNullSafe(F.max(row)).alias("same_values"),
+            (millis / F.lit(1000.0)).alias("seconds"),
+        )
+        .filter("deliveries > 1")
+    )
+
+
 def copies_against_originals(
     df: DataFrame,
     compared: Sequence[str],

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from roadflow.functions import fixed
 from roadflow.operators import dedup, joins, sequences, windows
+from roadflow.operators.quality import detect_anomalies
 from roadflow.plans import build, marts
 from roadflow.registry.catalog import (
     DECIMALS,
@@ -138,6 +139,42 @@ def dup_vs_original(spark, d):
     return dedup.copies_against_originals(observations(spark, d), COMPARED)
 
 
+_REDELIVERED = "SELECT * FROM obs UNION ALL SELECT * FROM obs WHERE congestion_level = 'High'"
+
+
+def redelivered(spark, d):
+    """Observations of which those at one level came a second time, unchanged in every byte."""
+    obs = observations(spark, d)
+    return obs.unionByName(obs.filter("congestion_level = 'High'"))
+
+
+@query(
+    "repeated_deliveries",
+    f""", sent AS ({_REDELIVERED})
+       SELECT event_id, count(*) AS deliveries,
+         {' AND '.join(f'count(DISTINCT {x}) + max(CASE WHEN {x} IS NULL THEN 1 ELSE 0 END) <= 1' for x in COMPARED)}
+           AS same_values,
+         date_diff('millisecond', min(generated_at), max(generated_at))::DOUBLE / 1e3 AS seconds
+       FROM sent GROUP BY 1 HAVING count(*) > 1""",
+)
+def repeated_deliveries(spark, d):
+    return dedup.repeated_deliveries(redelivered(spark, d), COMPARED)
+
+
+@query(
+    "redelivered_duplicates",
+    f""", sent AS ({_REDELIVERED})
+       SELECT event_id, rn > 1 AS duplicate, count(*) AS n FROM (
+         SELECT event_id, row_number() OVER (PARTITION BY event_id ORDER BY generated_at) AS rn FROM sent)
+       GROUP BY ALL""",
+)
+def redelivered_duplicates(spark, d):
+    """Rows of each id that are labelled as duplicates, and that are not: one a key, however often it came."""
+    found = detect_anomalies(redelivered(spark, d))
+    label = F.coalesce(F.array_contains(F.split("detected", ","), "Duplicate"), F.lit(False))
+    return found.groupBy("event_id", label.alias("duplicate")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "obs_gap",
     """SELECT road_segment_id, event_ts, n AS observations, previous_ts,
