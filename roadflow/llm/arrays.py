@@ -1,17 +1,22 @@
 """Whole Arrow columns of text as numpy arrays: bytes, words and their 64-bit hashes.
 
-A batch is worked on in pieces of about two megabytes of text, so the arrays of a task stay small; a text that is
-longer than a piece is a piece of its own and takes about 60 times its length in memory.
+A batch has at most ``BATCH_ROWS`` texts and is worked on in pieces of about a megabyte, so the buffers
+and arrays of a task stay small; a text that is longer than a piece is a piece of its own and takes about 60 times its
+length in memory.
 """
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
+BATCH_ROWS = 1000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -28,29 +33,32 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 
 BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))
-class _Factors:
-    """Powers of the base and of its inverse; computed where they are used, never sent along."""
+def worker_state() -> types.ModuleType:
+    """What one Python process keeps from task to task; functions sent by value have no module of their own to do so."""
+    return sys.modules.setdefault("_roadflow_worker_state", types.ModuleType("_roadflow_worker_state"))
 
-    def __init__(self):
-        self.powers = self.inverses = np.ones(1, np.uint64)
 
-    def __reduce__(self):
-        return _Factors, ()
+def _factors(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, ``size`` of them or more."""
+    state = worker_state()
+    if len(getattr(state, "powers", ())) < size:
+        wide = max(size, PIECE_BYTES + (PIECE_BYTES >> 2))
 
-    def upto(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.powers) < size:
-            wide = max(size, PIECE_BYTES + (PIECE_BYTES >> 2))
+        def powers(base: int) -> np.ndarray:
+            steps = np.full(wide, base, np.uint64)
+            steps[0] = 1
+            return np.cumprod(steps, dtype=np.uint64)
 
-            def powers(base: int) -> np.ndarray:
-                steps = np.full(wide, base, np.uint64)
-                steps[0] = 1
-                return np.cumprod(steps, dtype=np.uint64)
+        state.powers, state.inverses = powers(_BASE), powers(_INVERSE)
+    return state.powers, state.inverses
 
-            self.powers, self.inverses = powers(_BASE), powers(_INVERSE)
-        return self.powers, self.inverses
 
-
-_FACTORS = _Factors()
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """The same table; its session sends at most ``BATCH_ROWS`` rows at a time to Python, as documents are large."""
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +97,7 @@ class Rolling:
     def __init__(self, data: np.ndarray):
         n = len(data)
         codes = BYTE_CODES[data] if data.dtype == np.uint8 else data
-        powers, self.inverses = _FACTORS.upto(n + 1)
+        powers, self.inverses = _factors(n + 1)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(codes * powers[:n], dtype=np.uint64, out=self.sums[1:])
 

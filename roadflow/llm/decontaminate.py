@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadflow.llm.arrays import LOWER, Rolling, mix, pieces, text_bytes, words
+from roadflow.llm.arrays import LOWER, Rolling, in_small_batches, mix, pieces, text_bytes, words
 from roadflow.llm.licences import INSIDE
 from roadflow.session import staged
 
@@ -149,7 +149,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WOR
     kind = docs.schema["doc_id"].dataType.simpleString()
     item_kind = benchmark.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id {item_kind}, n_equal long, n_compared long, first_word long"
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = in_small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
     def against(block: Block):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,6 +190,7 @@ def without_overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = B
 
         return free
 
+    docs = in_small_batches(docs)
     for k, block in enumerate(blocks(benchmark, block_words)):
         docs = staged(docs, "decontaminated") if k else docs
         docs = docs.filter(clean(block)(F.coalesce("text", F.lit(""))))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadflow.llm.arrays import LOWER, pieces, text_bytes, words
+from roadflow.llm.arrays import LOWER, in_small_batches, pieces, text_bytes, words
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
@@ -85,7 +85,8 @@ def fit(labelled: DataFrame, smoothing: float = SMOOTHING) -> Model:
             )
 
     rows = (
-        labelled.filter("lang is not null")
+        in_small_batches(labelled)
+        .filter("lang is not null")
         .select(F.col("lang").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
         .mapInArrow(count, "lang string, cell long, n long")
         .groupBy("lang", "cell")
@@ -186,7 +187,7 @@ def predicted(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
                 )
 
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key), F.coalesce("text", F.lit("")).alias("text"), has_letter(F.col("text")).alias("letters"))
+    rows = in_small_batches(docs).select(F.col(key), F.coalesce("text", F.lit("")).alias("text"), has_letter(F.col("text")).alias("letters"))
     return rows.mapInArrow(run, f"{key} {kind}, lang_pred string, score double, languages array<string>")
 
 
@@ -211,6 +212,7 @@ def with_language(docs: DataFrame, least: float = 0.4) -> DataFrame:
 
     The columns stay as they are. Learned from the rows with a ``lang`` that are not held out.
     """
+    docs = in_small_batches(docs)
     model = fit(docs.filter(~held_out(F.col("doc_id"))).select("lang", "text"))
     if not model.languages:  # nothing to learn from, so nothing can be rejected for its language
         return docs.filter(has_letter(F.col("text")))

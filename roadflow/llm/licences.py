@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadflow.llm.arrays import LOWER, pieces, ranges, text_bytes, words
+from roadflow.llm.arrays import LOWER, in_small_batches, pieces, ranges, text_bytes, words
 
 # The base phrases, further phrases, and the licences an expression may use freely.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -183,7 +183,7 @@ def scanned(docs: DataFrame, base=BASE, further=FURTHER, permitted=PERMITTED) ->
         )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
+    return in_small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
         run,
         f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, "
         "labels string, score double, permitted boolean",

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadflow.llm.arrays import LOWER, NOT_SPACE, Rolling, mix, pieces, ranges, shingles, text_bytes, words
+from roadflow.llm.arrays import LOWER, NOT_SPACE, Rolling, in_small_batches, mix, pieces, ranges, shingles, text_bytes, words
 from roadflow.session import staged
 
 WORDS = 5
@@ -142,7 +142,8 @@ def _signed(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = F.coalesce("text", F.lit(""))
     return (
-        docs.select("doc_id", node(F.col("text")).alias("node"), text.alias("text"))
+        in_small_batches(docs)
+        .select("doc_id", node(F.col("text")).alias("node"), text.alias("text"))
         .mapInArrow(run, f"doc_id {kind}, node long, size long, bands array<long>")
         .withColumn("row", F.monotonically_increasing_id())
     )

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadflow.llm.arrays import in_small_batches
 from roadflow.session import staged
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -153,7 +154,7 @@ def _observed(docs: DataFrame) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = in_small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(run, f"doc_id {kind}, base array<{_SPAN}>, edges array<{_EDGE}>, seeds array<{_EDGE}>")
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadflow.llm.arrays import NOT_SPACE, Rolling, mix, pieces, sliding_max, sliding_min, text_bytes, words
+from roadflow.llm.arrays import NOT_SPACE, Rolling, in_small_batches, mix, pieces, sliding_max, sliding_min, text_bytes, words
 from roadflow.session import staged
 
 SETTLED, OPEN = 1, 2
@@ -41,7 +41,7 @@ class Units:
     window: int
     part: int
     rule: str  # "anywhere" or "earlier"
-    piece: int = 1 << 20
+    piece: int = 1 << 19
 
     def cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of all units and the index of each text's first (one more at the end)."""
@@ -112,7 +112,7 @@ def document_key() -> Column:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = in_small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return rows.select(document_key().alias("key"), "doc_id", "text")
 
 

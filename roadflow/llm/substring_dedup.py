@@ -28,7 +28,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX)
     than any other; rows with the same doc_id are repeats of one document and lose nothing to each other. Other columns
     are not read.
     """
-    units = Units("words", window, prefix, "earlier", 2 << 20)
+    units = Units("words", window, prefix, "earlier", 1 << 20)
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         data, offsets = text_bytes(batch.column(2))

@@ -9,13 +9,11 @@ the tokenizer as they are, so all ids are the tokenizer's.
 from __future__ import annotations
 
 import os
-import sys
-import types
 import unicodedata
 
 import numpy as np
 
-from roadflow.llm.arrays import Rolling, ranges
+from roadflow.llm.arrays import Rolling, ranges, worker_state
 
 REMEMBERED = 500_000
 # Latin, Greek, Cyrillic, kana, common Han and Hangul syllables.
@@ -25,11 +23,6 @@ _SPACES = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0]
 SUFFIXES = ["s", "t", "re", "ve", "m", "ll", "d"]  # of contractions, after an apostrophe
 
 
-def _worker_state() -> types.ModuleType:
-    """What one Python worker keeps from task to task."""
-    return sys.modules.setdefault("_roadflow_worker_state", types.ModuleType("_roadflow_worker_state"))
-
-
 def _classes() -> tuple[np.ndarray, np.ndarray]:
     kinds = {"L": LETTER, "N": NUMBER}
     top = max(b for _, b in SETTLED) + 1
@@ -64,7 +57,7 @@ class Encoder:
 
     @staticmethod
     def of_worker(path: str) -> Encoder:
-        state = _worker_state()
+        state = worker_state()
         if getattr(state, "path", None) != path:
             state.encoder, state.path = Encoder(path), path
         return state.encoder
