@@ -207,7 +207,7 @@ def identified(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "languages")
 
 
-def with_language(docs: DataFrame, least: float = 0.4) -> DataFrame:
+def with_language(docs: DataFrame, least: float = 0.3) -> DataFrame:
     """``docs`` without those that have no language: ``und``, or no language with a share of ``least``.
 
     The columns stay as they are. Learned from the rows with a ``lang`` that are not held out.
