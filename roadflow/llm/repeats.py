@@ -175,13 +175,16 @@ class _Sender:
 
     def _packed(self, kind, a, x, doc, pos, dealt) -> pa.RecordBatch:
         bucket = (mix(dealt.astype(np.uint64) ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(self.buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
+        # By anchor and place: neighbours share what they can, which is what compression needs.
+        order = np.lexsort((pos, doc, a, bucket))
         bucket = bucket[order]
         base = int(doc.min())
         offset = (doc - base)[order]
         offset = offset.astype(np.uint32) if offset.max() < 1 << 32 else offset.astype(np.uint64)
         start = np.flatnonzero(_first_of(bucket))
         stop = np.append(start[1:], len(bucket))
+        # Windows of one anchor start next to each other: less their index, their places are constant.
+        index = np.arange(len(bucket)) - np.repeat(start, stop - start)
 
         def blobs(values: np.ndarray) -> pa.Array:
             raw, width = values.tobytes(), values.dtype.itemsize
@@ -193,13 +196,13 @@ class _Sender:
                 pa.array(bucket[start], pa.int32()),
                 pa.array(np.full(n, kind), pa.int32()),
                 pa.array(np.full(n, base), pa.int64()),
-                *map(blobs, (a[order], x[order], offset, pos[order].astype(np.int32))),
+                *map(blobs, (a[order], x[order], offset, (pos[order] - index).astype(np.int32))),
             ],
             _NAMES,
         )
 
 
-Run = tuple[np.ndarray, ...]  # marked, a, x, doc, pos: sorted by a, x, doc, pos
+Run = tuple[np.ndarray, ...]  # marked, a, x, doc, pos: by a; what is equal in a and x is settled
 
 
 class Family:
@@ -244,9 +247,10 @@ def _runs(table: pa.Table) -> Iterator[tuple[int, Run]]:
         n = len(pos) // 4
         offset = np.frombuffer(doc, np.uint32 if len(doc) == 4 * n else np.uint64).astype(np.int64)
         marked = np.full(n, kind == OPEN + 2)
+        place = np.frombuffer(pos, np.int32) + np.arange(n, dtype=np.int32)
         yield (
             kind,
-            (marked, np.frombuffer(a, np.uint64), np.frombuffer(x, np.uint64), base + offset, np.frombuffer(pos, np.int32)),
+            (marked, np.frombuffer(a, np.uint64), np.frombuffer(x, np.uint64), base + offset, place),
         )
 
 
@@ -263,6 +267,8 @@ def _merged(rule: str, table: pa.Table, compare: bool) -> tuple[np.ndarray, np.n
     doc_, pos_ = (np.concatenate(c) for c in zip(*out))
     found = [(doc_, pos_, np.full(len(doc_), SETTLED))]
     if compare and len(a):
+        order = np.lexsort((x, a))
+        a, x, doc, pos = (v[order] for v in (a, x, doc, pos))
         begin = np.flatnonzero(_first_of(a))
         contexts = np.add.reduceat(_first_of(a, x).astype(np.int64), begin)
         mixed = np.repeat(contexts > 1, np.diff(np.append(begin, len(a))))
