@@ -195,10 +195,9 @@ def publish(
     parts = list(partition_by)
     if parts:
         df = df.hint("rebalance", *parts)
-    if parts and spark.catalog.tableExists(full):
+    if parts and not whole and spark.catalog.tableExists(full):
         ordered = df.select(*spark.table(full).columns)
-        mode = "static" if whole else "dynamic"
-        ordered.write.mode("overwrite").option("partitionOverwriteMode", mode).insertInto(full, overwrite=True)
+        ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(full, overwrite=True)
     else:
         df.write.mode("overwrite").partitionBy(*parts).saveAsTable(full)
     return full
