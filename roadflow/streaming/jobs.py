@@ -143,6 +143,7 @@ def wait(spark: SparkSession, *queries: StreamingQuery) -> None:
         for q in queries:
             if q.isActive:
                 q.stop()
+        spark.streams.resetTerminated()  # else the next wait in this session meets this failure again
     for q in queries:
         if q.exception() is not None:
             raise q.exception()

@@ -99,7 +99,7 @@ def test_state_of_old_ids_is_released(spark, lake):
     folder, out = lake
     for hour in range(6, 12):
         folder.arrive(at(f"{hour:02d}:00"))
-    _, metrics_query = run(spark, folder, out)
+    _, metrics_query, *_ = run(spark, folder, out)
     sizes = [p["stateOperators"][-1]["numRowsTotal"] for p in metrics_query.recentProgress]
     dedup = [min(s["numRowsTotal"] for s in p["stateOperators"]) for p in metrics_query.recentProgress]
     assert max(dedup) <= 2 and max(sizes) <= 3
