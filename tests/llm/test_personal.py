@@ -64,3 +64,30 @@ def test_empty_and_repeated(docs_of):
     assert pd_.scanned(docs_of([])).count() == 0
     got = pd_.scanned(docs_of([(1, "a@b.cc"), (1, "a@b.cc")])).collect()
     assert [[s.kind for s in r.base] for r in got] == [["email"], ["email"]]
+
+
+PROSE = "the of and thing eder anhein ouer stion ther inerly reand shor".split()
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(PROSE) for _ in range(n)) + rng.choice([" ", ". "])
+
+
+def test_seeds_alone_find_identifiers_in_prose(docs_of, monkeypatch):
+    monkeypatch.setattr(pd_, "CUES", set())
+    rng = random.Random(3)
+    rows = [(k, prose(rng, 30) + f"please write to user{k}@mail.org about" + " it. " + prose(rng, 30)) for k in range(8)]
+    rows += [(10 + k, prose(rng, 30) + f"é (\n call  +49 30 12345{k}{k} today) " + prose(rng, 20)) for k in range(8)]
+    rows += [(20, prose(rng, 9) + "Please write  to memb-4471x about it."), (21, prose(rng, 9) + "é ( CALL desk0077 today) the")]
+    rows += [(30 + k, prose(rng, 40) + f"chapter{k}{k + 100} " + prose(rng, 9)) for k in range(8)]
+    text = dict(rows)
+    got = {r.doc_id: [text[r.doc_id][s.start : s.stop] for s in r.found] for r in pd_.scanned(docs_of(rows)).collect()}
+    assert {k: v for k, v in got.items() if v} == {20: ["memb-4471x"], 21: ["desk0077"]}
+
+
+def test_rounds_and_support_revise_cues(docs_of):
+    rows = [(k, f"the key: {w} is") for k, w in enumerate(["of", "music", "major", "minor", "abc123def"])]
+    assert all(not r.found for r in pd_.scanned(docs_of(rows)).collect())
+    rows = [(1, "a token = 'ab12cd34'")]
+    assert [len(r.found) for r in pd_.scanned(docs_of(rows), support=2).collect()] == [1]
+    assert [len(r.found) for r in pd_.scanned(docs_of(rows), support=3).collect()] == [0]
