@@ -4,9 +4,14 @@ A text is a sequence of units (bytes or words), a window so many consecutive uni
 part of ``part`` units with the smallest hash is its anchor, so equal windows have equal anchors, and only a fraction
 of all positions are anchors. A window's anchor and what may surround it within the window is the anchor's context.
 
-1. Anchors are dealt to buckets by hash (``occurrences``). Among those with equal contexts all windows are equal, which
-   settles them. Anchors that are equal in different contexts may still share some windows.
-2. For these alone, windows are hashed and dealt again (``compared``).
+1. Anchors with many contexts are counted first (``crowded``), as their hash alone does not split them.
+2. Anchors are dealt to buckets by hash, crowded ones by that of their context (``occurrences``). Among those with equal
+   contexts all windows are equal, which settles them. Anchors that are equal in different contexts may still share some
+   windows.
+3. For these alone, windows are hashed and dealt again (``compared``): by their anchor, or by the whole window where
+   the anchor has many.
+
+How entries are dealt does not change what is found: equal contexts and equal windows always meet.
 
 Both exchanges carry packed arrays, and what a task can settle among its own texts is settled before it sends: of any
 repeated context or window a task sends one occurrence, so a very frequent one does not fill a bucket.
@@ -28,9 +33,11 @@ from pyspark.sql import functions as F
 from roadflow.llm.arrays import NOT_SPACE, Rolling, in_small_batches, mix, pieces, sliding_max, sliding_min, text_bytes, words
 from roadflow.session import staged
 
-SETTLED, OPEN = 1, 2
+SETTLED, OPEN, WIDE = 1, 2, 3  # WIDE: open, with so many windows that they are dealt one by one
+WIDE_WINDOWS = 1 << 16
 FLUSH = 1 << 20  # entries that a task gathers before it sends them
 UNKNOWN_ID = 1 << 62
+NONE = np.zeros(0, np.uint64)
 
 
 @dataclass
@@ -144,14 +151,21 @@ def _settle(rule: str, group: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray,
     return size[index] > 1, group
 
 
+def _by_both(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return a ^ mix(x + np.uint64(0x9E3779B97F4A7C15))
+
+
 class _Sender:
-    """Gathers entries (a, x, doc, pos) and packs them by bucket; a context of one task is sent once."""
+    """Gathers entries (a, x, doc, pos, dealt) and packs them by bucket; a context of one task is sent once.
+
+    ``dealt`` is what an entry's bucket follows from; it is the same for entries with equal a and x.
+    """
 
     def __init__(self, rule: str, buckets: int):
         self.rule, self.buckets, self.held, self.count = rule, buckets, [], 0
 
-    def add(self, a, x, doc, pos) -> Iterator[pa.RecordBatch]:
-        self.held.append((a, x, doc, pos))
+    def add(self, a, x, doc, pos, dealt) -> Iterator[pa.RecordBatch]:
+        self.held.append((a, x, doc, pos, dealt))
         self.count += len(a)
         if self.count >= FLUSH:
             yield from self.flush()
@@ -159,13 +173,13 @@ class _Sender:
     def flush(self) -> Iterator[pa.RecordBatch]:
         if not self.count:
             return
-        a, x, doc, pos = (np.concatenate(c) for c in zip(*self.held))
+        a, x, doc, pos, place = (np.concatenate(c) for c in zip(*self.held))
         self.held, self.count = [], 0
         order = np.lexsort((pos, doc, x, a))
-        a, x, doc, pos = a[order], x[order], doc[order], pos[order]
+        a, x, doc, pos, place = a[order], x[order], doc[order], pos[order], place[order]
         repeat, sent = _settle(self.rule, _first_of(a, x), doc)
         # What is settled goes anywhere: it only has to reach the output once.
-        for kind, chosen, dealt in ((SETTLED, repeat & ~sent, doc), (OPEN, sent, a)):
+        for kind, chosen, dealt in ((SETTLED, repeat & ~sent, doc), (OPEN, sent, place)):
             # 'anywhere': the sent row of a settled group still has to meet the others, so it is marked as settled.
             known = repeat if self.rule == "anywhere" else np.zeros(len(a), bool)
             for mark in (False, True) if kind == OPEN else (False,):
@@ -254,8 +268,12 @@ def _runs(table: pa.Table) -> Iterator[tuple[int, Run]]:
         )
 
 
-def _merged(rule: str, table: pa.Table, compare: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """doc, pos and kind of the entries of a bucket that are settled, or that have to be compared by windows."""
+def _merged(rule: str, table: pa.Table, most: int, many: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc, pos and kind of the entries of a bucket that are settled, or that have to be compared by windows.
+
+    most: contexts that an anchor has without being WIDE; 0 if nothing is to be compared. many: crowded anchors, whose
+    other contexts may be in other buckets.
+    """
     family, out = Family(rule), []
     for kind, run in _runs(table):
         if kind == SETTLED:
@@ -266,20 +284,22 @@ def _merged(rule: str, table: pa.Table, compare: bool) -> tuple[np.ndarray, np.n
     out += [*family.settled, (doc[marked], pos[marked])]
     doc_, pos_ = (np.concatenate(c) for c in zip(*out))
     found = [(doc_, pos_, np.full(len(doc_), SETTLED))]
-    if compare and len(a):
+    if most and len(a):
         order = np.lexsort((x, a))
         a, x, doc, pos = (v[order] for v in (a, x, doc, pos))
         begin = np.flatnonzero(_first_of(a))
         contexts = np.add.reduceat(_first_of(a, x).astype(np.int64), begin)
-        mixed = np.repeat(contexts > 1, np.diff(np.append(begin, len(a))))
+        contexts[np.isin(a[begin], many)] = most + 1
+        contexts = np.repeat(contexts, np.diff(np.append(begin, len(a))))
+        mixed = contexts > 1
         # What stands for a context stands for all that share it; settled ones may still match others in part.
-        found.append((doc[mixed], pos[mixed], np.full(int(mixed.sum()), OPEN)))
+        found.append((doc[mixed], pos[mixed], np.where(contexts[mixed] > most, WIDE, OPEN)))
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
-def _exchange(entries: DataFrame, rule: str, compare: bool) -> DataFrame:
+def _exchange(entries: DataFrame, rule: str, most: int = 0, many: np.ndarray = NONE) -> DataFrame:
     def merge(table: pa.Table) -> pa.Table:
-        doc, pos, kind = _merged(rule, table, compare)
+        doc, pos, kind = _merged(rule, table, most, many)
         return pa.table([pa.array(doc, pa.int64()), pa.array(pos, pa.int32()), pa.array(kind, pa.int32())], ["key", "pos", "kind"])
 
     return entries.groupBy("bucket").applyInArrow(merge, "key long, pos int, kind int")
@@ -290,27 +310,70 @@ def _buckets(df: DataFrame) -> int:
     return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _anchored(batches: Iterator[pa.RecordBatch], units: Units) -> Iterator[tuple[np.ndarray, Anchored]]:
+    for batch in batches:
+        keys = batch.column(0).to_numpy()
+        data, offsets = text_bytes(batch.column(1))
+        for i, j in pieces(offsets, units.piece):
+            yield keys[i:j], Anchored(units, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+
+
+def crowded(rows: DataFrame, units: Units) -> np.ndarray:
+    """Anchors, sorted, that have more contexts than a quarter of what a bucket holds on average, and at most eight a bucket.
+
+    Contexts are counted by lots of a task. A lot leaves out anchors with at most 1 / (8 buckets) of its contexts, so no
+    count lacks more than that share of all.
+    """
+    share = 8 * _buckets(rows)
+
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        pairs = np.concatenate(held, axis=1)
+        a, x = pairs[:, np.lexsort((pairs[1], pairs[0]))]
+        a, n = np.unique(a[_first_of(a, x)], return_counts=True)
+        total = int(n.sum())
+        many = n * share > total
+        hashes = [None, *a[many].view(np.int64).tolist()]
+        return pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array([total, *n[many].tolist()], pa.int64())], ["a", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for _, found in _anchored(batches, units):
+            held.append(np.stack([found.parts[found.positions], found.contexts()]))
+            count += len(found.positions)
+            if count >= FLUSH:
+                yield counted(held)
+                held, count = [], 0
+        if count:
+            yield counted(held)
+
+    lots = rows.select("key", "text").mapInArrow(run, "a long, n long")
+    counts = staged(lots.groupBy("a").agg(F.sum("n").alias("n")), "anchor-counts")
+    total = counts.filter("a is null").first()
+    if total is None:
+        return NONE
+    many = counts.filter(f"a is not null and n * {share} > {total['n']}").select("a").toPandas()
+    return np.sort(many["a"].to_numpy(np.int64).view(np.uint64))
+
+
 def occurrences(rows: DataFrame, units: Units) -> DataFrame:
-    """key, pos, kind: anchors whose windows all repeat (SETTLED) and anchors to compare by windows (OPEN)."""
-    buckets = _buckets(rows)
+    """key, pos, kind: anchors whose windows all repeat (SETTLED) and anchors to compare by windows (OPEN, WIDE)."""
+    buckets, many = _buckets(rows), crowded(rows, units)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = _Sender(units.rule, buckets)
-        for batch in batches:
-            keys = batch.column(0).to_numpy()
-            data, offsets = text_bytes(batch.column(1))
-            for i, j in pieces(offsets, units.piece):
-                found = Anchored(units, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                text = found.texts(found.positions)
-                place = found.positions - found.first[text]
-                yield from sender.add(found.parts[found.positions], found.contexts(), keys[i:j][text], place)
+        for keys, found in _anchored(batches, units):
+            text = found.texts(found.positions)
+            a, x = found.parts[found.positions], found.contexts()
+            dealt = np.where(np.isin(a, many), _by_both(a, x), a)
+            yield from sender.add(a, x, keys[text], found.positions - found.first[text], dealt)
         yield from sender.flush()
 
-    return _exchange(rows.select("key", "text").mapInArrow(run, _ENTRIES), units.rule, True)
+    most = max(1, WIDE_WINDOWS // (units.reach + 1))
+    return _exchange(rows.select("key", "text").mapInArrow(run, _ENTRIES), units.rule, most, many)
 
 
 def compared(rows: DataFrame, anchors: DataFrame, units: Units) -> DataFrame:
-    """key, pos: starts of repeated windows around the OPEN anchors."""
+    """key, pos: starts of repeated windows around the OPEN and WIDE anchors."""
     buckets = _buckets(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,19 +387,21 @@ def compared(rows: DataFrame, anchors: DataFrame, units: Units) -> DataFrame:
             for i, j in pieces(offsets, units.piece):
                 found = Anchored(units, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 own = np.repeat(np.arange(j - i), np.diff(ends[i : j + 1]))
-                at = flat[ends[i] : ends[j]] + found.first[own]
+                at, wide = (flat[ends[i] : ends[j]] >> 1) + found.first[own], flat[ends[i] : ends[j]] & 1 == 1
                 hashes = found.rolling.windows(units.window)
                 for p in range(0, len(at), 4096):  # windows of some anchors at a time
                     start, which = found.windows_of(at[p : p + 4096])
                     text = own[p : p + 4096][which]
-                    yield from sender.add(
-                        found.parts[at[p : p + 4096][which]], hashes[start], keys[i:j][text], start - found.first[text]
-                    )
+                    a, x = found.parts[at[p : p + 4096][which]], hashes[start]
+                    dealt = np.where(wide[p : p + 4096][which], _by_both(a, x), a)
+                    yield from sender.add(a, x, keys[i:j][text], start - found.first[text], dealt)
         yield from sender.flush()
 
-    todo = anchors.filter(F.col("kind") == OPEN).groupBy("key").agg(F.sort_array(F.collect_set("pos")).alias("places"))
+    # A place and whether its windows are dealt one by one, as one number.
+    place = F.col("pos").cast("long") * 2 + (F.col("kind") == WIDE).cast("long")
+    todo = anchors.filter(F.col("kind") != SETTLED).groupBy("key").agg(F.sort_array(F.collect_set(place)).alias("places"))
     texts = rows.select("key", "text").join(todo, "key")
-    return _exchange(texts.mapInArrow(run, _ENTRIES), units.rule, False)
+    return _exchange(texts.mapInArrow(run, _ENTRIES), units.rule)
 
 
 def repeated_spans(docs: DataFrame, units: Units) -> DataFrame:

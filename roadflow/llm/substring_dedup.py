@@ -2,8 +2,9 @@
 
 Suffixes are taken at the anchors of ``repeats`` and split by the hash of their prefix into groups of about equal size;
 within a group they are sorted, which puts the leaves of each subtree side by side: equal anchors first, then equal
-contexts. A subtree whose leaves agree over a whole context is settled; where it branches inside a window, prefixes
-are lengthened to the whole window and the suffixes are split and sorted anew.
+contexts. A prefix with very many contexts is lengthened to the whole context before suffixes are split. A subtree whose
+leaves agree over a whole context is settled; where it branches inside a window, windows are split by prefix and sorted
+anew, or by the whole window where a prefix has very many.
 """
 
 from __future__ import annotations

@@ -5,9 +5,10 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from conftest_llm import EDGES
-from roadflow.llm import substring_dedup, suffix_dedup
+from roadflow.llm import repeats, substring_dedup, suffix_dedup
 
 
 def brute_words(rows, size):
@@ -93,3 +94,39 @@ def test_edges_and_repeated_rows(docs_of):
     assert found == brute_bytes([(i, t) for i, t in rows], 200)
     assert substring_dedup.without_repeats(docs_of([])).count() == 0
     assert suffix_dedup.without_repeats(docs_of([])).count() == 0
+
+
+@pytest.mark.parametrize("kind, rule", [("words", "earlier"), ("bytes", "anywhere")])
+def test_one_phrase_in_all_documents_is_dealt_over_the_buckets(spark, docs_of, monkeypatch, kind, rule):
+    phrase = "the one very common phrase of all that we know here ok"
+    rows = [(k, " ".join(f"l{k}x{i}" for i in range(9)) + f" {phrase} " + " ".join(f"r{k}x{i}" for i in range(9))) for k in range(400)]
+    rows += [(1000 + k, t) for k, (_, t) in enumerate(rows[:9])]
+    units = repeats.Units(kind, *((13, 5) if kind == "words" else (60, 20)), rule)
+    docs = repeats.keyed(docs_of(rows))
+    many = repeats.crowded(docs, units)
+    assert 0 < len(many) <= 8 * repeats._buckets(docs)
+    dealt = []
+    monkeypatch.setattr(repeats, "WIDE_WINDOWS", 0)
+    exchange = repeats._exchange
+
+    def kept(entries, *rest):
+        dealt.append([(r.bucket, np.frombuffer(r.a, np.uint64)) for r in entries.filter("kind != 1").collect()])
+        return exchange(entries, *rest)
+
+    monkeypatch.setattr(repeats, "_exchange", kept)
+    repeats.repeated_spans(docs_of(rows), units).count()
+    for step in dealt:  # anchors, then windows
+        hashes, n = np.unique(np.concatenate([a for _, a in step]), return_counts=True)
+        most = hashes[n.argmax()]
+        assert n.max() > 300 and len({bucket for bucket, a in step if most in a}) > 2
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_results_do_not_depend_on_how_entries_are_dealt(docs_of, monkeypatch, seed):
+    monkeypatch.setattr(repeats, "WIDE_WINDOWS", 0)
+    rows = passages(seed)
+    got = substring_dedup.without_repeats(docs_of(rows), window=6, prefix=2).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=repr) == brute_words(rows, 6)
+    got = suffix_dedup.without_repeats(docs_of(rows), window=24, prefix=7).collect()
+    found = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got), key=repr)
+    assert found == brute_bytes(rows, 24)
