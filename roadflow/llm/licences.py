@@ -140,6 +140,7 @@ def scanned(docs: DataFrame, base=BASE, further=FURTHER, permitted=PERMITTED) ->
         n = len(ids)
         starts, ends, first = words(data, offsets, INSIDE)
         text, begins = _joined(data, starts, ends, first)
+        raw = data.tobytes()
         places: list[list[int]] = [[] for _ in range(n)]
         basic: list[set] = [set() for _ in range(n)]
         labels: list[set] = [set() for _ in range(n)]
@@ -152,7 +153,9 @@ def scanned(docs: DataFrame, base=BASE, further=FURTHER, permitted=PERMITTED) ->
             word = int(np.searchsorted(begins, at))
             doc = int(np.searchsorted(first, word, "right")) - 1
             if phrase == TAG:
-                tail = data[ends[word + 2] : min(offsets[doc + 1], ends[word + 2] + 400)].tobytes().split(b"\n")[0]
+                begin = int(ends[word + 2])
+                stop = raw.find(b"\n", begin, int(offsets[doc + 1]))
+                tail = raw[begin : stop if stop >= 0 else int(offsets[doc + 1])]
                 order = postfix(tail.decode("utf-8", "ignore").lstrip(": \t"))
                 if order:
                     free, names = evaluated(order, permitted)

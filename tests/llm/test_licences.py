@@ -87,3 +87,12 @@ def test_tags_and_edges(docs_of):
     assert by[30].labels == "apache-2.0,gpl-3.0,mit,reserved" and by[30].permitted is True and by[30].score > 0.95
     assert by[31].permitted is False and by[32].labels == "" and by[32].score == 0
     assert licences.scanned(docs_of([])).count() == 0
+
+
+def test_an_expression_of_several_kilobytes_is_read_to_its_line_end(docs_of):
+    names = [f"LicenseRef-part{k}" for k in range(300)]
+    line = "SPDX-License-Identifier: MIT OR " + " OR ".join(names)
+    rows = [(1, f"{line}\nOR ISC"), (2, "SPDX-License-Identifier: " + "MIT AND " * 700 + "GPL-3.0"), (3, "ISC")]
+    got = {r.doc_id: r for r in licences.scanned(docs_of(rows, 1)).collect()}
+    assert set(got[1].labels.split(",")) == {"mit", *map(str.lower, names)}
+    assert got[2].permitted is False and got[2].labels == "gpl-3.0,mit" and got[3].labels == ""
