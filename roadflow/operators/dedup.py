@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 
 def _top_one(df: DataFrame, keys: Sequence[str], order: list[Column]) -> DataFrame:
-    """First row of each key by the order; ties are settled by a hash of the other columns.
+    """First row of each key by the order.
 
-    The hash is computed below the ranking, so only the columns that are used later are sorted and shuffled.
+    Rows that tie on all of the order are settled by a hash of the other columns, the same on every run but without a
+    meaning: name the deciding columns in the order where the choice matters. The hash is computed below the ranking,
+    so only the columns that are used later are sorted and shuffled.
     """
     tied = df.withColumn("_tie", F.xxhash64(*_rest(df, keys))) if _rest(df, keys) else df.withColumn("_tie", F.lit(0))
     ranked = tied.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order, "_tie")))

@@ -284,7 +284,7 @@ LINE_REST = [
 )
 def shipment_latest(spark, d):
     lines = spark.read.parquet(f"{d}/lineitem.parquet")
-    return dedup.keep_latest(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+    return dedup.keep_latest(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate", *LINE_REST])
 
 
 @query(

@@ -2,7 +2,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from conftest import event
+from wire_records import event
 from roadflow.functions import fixed
 from roadflow.operators import dedup, joins, quality, records, reports, sequences, sets, windows
 from roadflow.sources.contract import EVENT_SCHEMA

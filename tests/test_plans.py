@@ -97,7 +97,7 @@ def test_no_python_runs_in_the_tasks(spark):
 def test_stream_then_load_then_build(spark, tmp_path):
     import json
 
-    from conftest import event
+    from wire_records import event
     from roadflow.streaming import jobs
 
     def arrive(name, *records):

@@ -1,7 +1,7 @@
 import json
 from datetime import date
 
-from conftest import event
+from wire_records import event
 from roadflow.plans import marts, staging
 from roadflow.plans.build import typed_raw
 from roadflow.plans.refresh import loaded, refresh

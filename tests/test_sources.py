@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import event
+from wire_records import event
 from roadflow.functions import fixed
 from roadflow.sources import contract, files, tables
 from roadflow.sources.contract import EVENT_SCHEMA, Field, event_contract

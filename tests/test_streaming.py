@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors.exceptions.captured import StreamingQueryException
 from pyspark.sql import functions as F
 
-from conftest import event
+from wire_records import event
 from roadflow.operators.dedup import keep_first
 from roadflow.operators.windows import window_metrics
 from roadflow.streaming import jobs
