@@ -7,6 +7,7 @@ length in memory.
 
 from __future__ import annotations
 
+import hashlib
 import sys
 import types
 from collections.abc import Iterator
@@ -113,6 +114,29 @@ class Rolling:
         return mix((self.sums[size:] - self.sums[: n - size + 1]) * self.inverses[: n - size + 1])
 
 
+SHORT_SPAN = 64
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of every stretch: eight bytes at a time, each step mixed; long stretches by BLAKE2b."""
+    sizes = ends - starts
+    out = mix(sizes.astype(np.uint64) + np.uint64(_BASE))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    left = np.flatnonzero((sizes > 0) & (sizes <= SHORT_SPAN))
+    step = 0
+    while len(left):
+        rest = np.minimum(sizes[left] - step, 8)
+        kept = np.uint64(0xFFFFFFFFFFFFFFFF) >> ((8 - rest) * 8).astype(np.uint64)
+        out[left] = mix((out[left] ^ (eights[starts[left] + step] & kept)) * np.uint64(0x2545F4914F6CDD1D))
+        step += 8
+        left = left[sizes[left] > step]
+    for k in np.flatnonzero(sizes > SHORT_SPAN).tolist():
+        digest = hashlib.blake2b(data[starts[k] : ends[k]].tobytes(), digest_size=8).digest()
+        out[k] = int.from_bytes(digest, "little")
+    return out
+
+
 def lower_table() -> np.ndarray:
     """A-Z to a-z, every other byte to itself."""
     codes = np.arange(256, dtype=np.uint8)
