@@ -38,6 +38,7 @@ SLICES = 64
 TOKEN = np.uint64((1 << 58) - 1)
 CLASS_SHIFT = np.uint64(58)
 BOUNDARIES = [3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128]  # sets up to this size are small
+FIRST = 32  # buckets by which a pair that meets in several is recognised
 LEAST_SIZE = 4  # smaller sets are linked with equal ones only
 
 
@@ -214,6 +215,14 @@ def _members(postings: DataFrame) -> DataFrame:
     return scanned.filter("low < high AND any").select(*columns).distinct().unionByName(joined.select(*columns))
 
 
+def _once(members: DataFrame) -> DataFrame:
+    """``members`` without the keys that hold the same sets as another key: two long copies share thousands of them."""
+    mixed = F.xxhash64("node")
+    same = [F.sum(F.shiftrightunsigned(mixed, 20)).alias("sum"), F.bit_xor(mixed).alias("xor"), F.count(F.lit(1)).alias("n")]
+    kept = members.groupBy("key").agg(*same).groupBy("sum", "xor", "n").agg(F.min("key").alias("key")).select("key")
+    return members.join(kept, "key", "left_semi")
+
+
 def parity(tokens: np.ndarray, size: int) -> bytes:
     """A bit for each token's remainder, set if an odd number of tokens has it; about as many bits as tokens."""
     bits = 64
@@ -263,12 +272,30 @@ def _possible(percent: int):
                 differ = np.bitwise_count(folded[place[x[part]]] ^ folded[place[y[part]]]).sum(axis=1, dtype=np.int64)
                 both = size[x[part]].astype(np.int64) + size[y[part]]
                 kept[part] = differ * (100 + percent) <= both * (100 - percent)
-        a, b = node[x[kept]], node[y[kept]]
+        x, y = x[kept], y[kept]
+        here = _met_here(group, x, y)
+        a, b = node[x[here]], node[y[here]]
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     return found
 
 
+def _met_here(group: pa.Table, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether this bucket is the first that both of a pair list among their ``FIRST`` first buckets, or they list none."""
+    mine = group.column("bucket")[0].as_py()
+    lists = group.column("buckets").combine_chunks()
+    counts = np.diff(lists.offsets.to_numpy())
+    table = np.full((len(counts), FIRST), np.iinfo(np.int64).max)
+    table[np.repeat(np.arange(len(counts)), counts), ranges(np.zeros(len(counts), np.int64), counts)] = lists.flatten().to_numpy()
+    out = np.zeros(len(x), bool)
+    for at in range(0, len(x), 2048):
+        one, two = table[x[at : at + 2048]], table[y[at : at + 2048]]
+        both = (one[:, :, None] == two[:, None, :]).any(axis=2)
+        first = np.where(both, one, np.iinfo(np.int64).max).min(axis=1)
+        out[at : at + 2048] = (first == mine) | (first == np.iinfo(np.int64).max)
+    return out
+
+
 def linked(left: pa.Array, right: pa.Array, percent: int = PERCENT) -> np.ndarray:
     """Whether the sets of two columns of texts are alike enough."""
     out = np.zeros(len(left), bool)
@@ -321,6 +348,7 @@ def _links(docs: DataFrame, sets: DataFrame, percent: int, counters: int) -> Dat
     classes, beyond, _ = _sketch(docs, counters)
     limit = boundary(sets, beyond, percent)
     members = staged(_members(_postings(docs, classes, limit, percent)), "members")
+    members = staged(_once(members), "members")
     texts = staged(_texts_of(docs, members.select("node").distinct()), "texts")
     alike = F.least("size", "leader.size") * 100 >= F.greatest("size", "leader.size") * percent
     spokes = (
@@ -335,7 +363,10 @@ def _links(docs: DataFrame, sets: DataFrame, percent: int, counters: int) -> Dat
     placed = members.join(labels, "node", "left").select(
         F.col("key").alias("bucket"), "node", "size", F.coalesce("label", "node").alias("label")
     )
-    met = crowds.meetings(staged(placed, "placed")).join(staged(_bitmaps(texts), "bitmaps"), "node")
+    met = crowds.meetings(staged(placed, "placed"))
+    of_node = met.select("node", "bucket").distinct().withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("bucket")))
+    of_node = of_node.filter(F.col("place") <= FIRST).groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
+    met = met.join(staged(of_node.join(_bitmaps(texts), "node"), "bitmaps"), "node")
     rest = crowds.scanned(met, ["bucket", "block", "chunk"], _possible(percent), "a long, b long").distinct()
     second = verified(rest.join(spokes, ["a", "b"], "left_anti"), texts, percent)
     return staged(first.unionByName(second), "links")

@@ -102,7 +102,7 @@ def test_bitmaps_never_drop_a_link():
         linked = 100 * common >= 80 * (len(a) + len(b) - common)
         group = pa.table({
             "home": [True, False], "large": [True, False], "node": [1, 2], "label": [1, 2], "size": pa.array([len(a), len(b)], pa.int32()),
-            "bitmap": pa.array([nj.parity(a, len(a)), nj.parity(b, len(b))], pa.binary()),
+            "bucket": [5, 5], "buckets": pa.array([[5], [5]], pa.list_(pa.int64())), "bitmap": pa.array([nj.parity(a, len(a)), nj.parity(b, len(b))], pa.binary()),
         })
         found = nj._possible(80)(group)
         assert not linked or (found is not None and found.num_rows == 1)
