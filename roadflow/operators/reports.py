@@ -187,6 +187,26 @@ def arrival_lag(events: DataFrame, keys: Sequence[str] = ("anomaly_type",)) -> D
     )
 
 
+def lag_sketches(events: DataFrame, keys: Sequence[str], size: int = 400) -> DataFrame:
+    """A quantile sketch of the milliseconds from event time to arrival, per group; sketches of parts can be merged.
+
+    The rank error of a sketch of ``size`` is about 1.3 / size ** 0.9, 0.6 % for 400, whatever the number of rows.
+    """
+    millis = F.timestamp_diff("MILLISECOND", F.col("event_ts"), F.col("generated_at"))
+    return events.groupBy(*keys).agg(F.kll_sketch_agg_bigint(millis, F.lit(size)).alias("sketch"), F.count(millis).alias("n"))
+
+
+def lag_quantiles(
+    sketches: DataFrame, keys: Sequence[str] = ("anomaly_type", "area"), probabilities: Sequence[float] = (0.5, 0.9, 0.99)
+) -> DataFrame:
+    """Lag in milliseconds below which the given shares of the rows lie, from merged sketches; NULL for a group without lags."""
+    merged = sketches.filter("n > 0").groupBy(*keys).agg(F.kll_merge_agg_bigint("sketch").alias("sketch"), F.sum("n").alias("n"))
+    quantiles = [F.kll_sketch_get_quantile_bigint("sketch", F.lit(float(p))).alias(f"p{p * 100:g}".replace(".", "_")) for p in probabilities]
+    found = merged.select(*keys, "n", *quantiles)
+    empty = sketches.groupBy(*keys).agg(F.sum("n").alias("n")).filter("n = 0")
+    return found.unionByName(empty, allowMissingColumns=True)
+
+
 def late_events(events: DataFrame, allowed_minutes: int = 10, keys: Sequence[str] = ("area",)) -> DataFrame:
     """Audit of the raw lake: events that arrived later than the watermark allows, per group.
 

@@ -5,17 +5,20 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadflow.functions import fixed
 from roadflow.functions.times import local_event_time, wall_clock
 from roadflow.operators.joins import one_per_key, star_join
-from roadflow.operators.quality import range_violations
+from roadflow.operators.quality import range_rules
+from roadflow.operators.records import failed_codes
 from roadflow.plans import marts, staging
 from roadflow.session import staged
 from roadflow.sources.contract import EVENT_SCHEMA
-from roadflow.sources.tables import load_errors, load_new_files, publish
+from roadflow.sources import ledger
+from roadflow.sources.tables import publish
 
 RAW_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, T.StructField("event_ts", T.TimestampType())])
 METRIC_SCHEMA = T.StructType(
@@ -68,14 +71,30 @@ class Marts:
         return star_join(self.fact_5min, {"date_key": self.dim_date, "road_segment_id": self.dim_road_segment})
 
 
+def checked(stage: DataFrame) -> tuple[DataFrame, int]:
+    """Staged events, written once with the fields out of range in ``failed`` (empty when none is), and how many rows fail.
+
+    The count is observed by the write itself, so the test needs no scan of its own.
+    """
+    counted = Observation()
+    failed = stage.withColumn("failed", failed_codes(range_rules()))
+    written = staged(failed.observe(counted, F.count(F.when(F.col("failed") != "", 1)).alias("n")), "stage")
+    return written, counted.get["n"]
+
+
 def models(raw_events: DataFrame, metrics: DataFrame, aliases: Mapping[str, str] | None = None) -> Marts:
     """All models over raw events and window metrics.
 
     Several models read the deduplicated events and the windows, so those are written once; the dimensions are written
     too, which gives joins with them a known size.
     """
-    events = staged(marts.latest_events(staging.stage_events(raw_events, aliases)), "events")
-    windows = staged(staging.stage_metrics(metrics, aliases), "windows")
+    return models_of(staging.stage_events(raw_events, aliases), staging.stage_metrics(metrics, aliases))
+
+
+def models_of(stage: DataFrame, stage_metrics: DataFrame) -> Marts:
+    """All models over staged events and staged window metrics."""
+    events = staged(marts.latest_events(stage), "events")
+    windows = staged(stage_metrics, "windows")
     return Marts(
         events=events,
         metrics=windows,
@@ -104,21 +123,20 @@ def load_then_build(
 ) -> Marts:
     """One run of the batch job: load the files that the stream added since the last run, then build.
 
-    ``lake`` holds the stream's raw and metrics folders, ``warehouse`` the loaded tables and load records, and in
+    ``lake`` holds the stream's raw and metrics folders, ``warehouse`` the loaded tables, their ledgers, and in
     ``load_errors`` by table what the loads left out.
     """
     loads = {
         "raw": (RAW_SCHEMA, RAW_SCHEMA, None),
         "metrics": (METRIC_SCHEMA, METRIC_TABLE_SCHEMA, {"event_count": "total_events"}),
     }
+    tables = {}
     for name, (given, wanted, renames) in loads.items():
-        target, done = f"{warehouse}/{name}", f"{warehouse}/loads/{name}"
-        load_new_files(spark, f"{lake}/{name}", given, target, wanted, done, renames=renames)
-        errors = load_errors(spark, f"{lake}/{name}", given, wanted, renames=renames)
-        errors.write.mode("overwrite").parquet(f"{warehouse}/load_errors/{name}")
-    raw = spark.read.schema(RAW_SCHEMA).parquet(f"{warehouse}/raw")
-    metrics = spark.read.schema(METRIC_TABLE_SCHEMA).parquet(f"{warehouse}/metrics")
-    return build(typed_raw(raw), typed_metrics(metrics), aliases, **options)
+        target, known = f"{warehouse}/{name}", f"{warehouse}/ledger/{name}"
+        ledger.load(spark, f"{lake}/{name}", given, target, wanted, known, renames=renames)
+        ledger.errors(spark, known).write.mode("overwrite").parquet(f"{warehouse}/load_errors/{name}")
+        tables[name] = ledger.loaded(spark, target, wanted, known, f"{warehouse}/compactions/{name}").drop("load_id")
+    return build(typed_raw(tables["raw"]), typed_metrics(tables["metrics"]), aliases, **options)
 
 
 def build(
@@ -132,10 +150,11 @@ def build(
     A failing test leaves what was published before as it is. Facts are replaced as a whole: days that the input no
     longer has are gone.
     """
-    stage = staging.stage_events(raw_events, aliases)
-    if stop_on_violation and not range_violations(stage, ["event_id"]).isEmpty():
-        raise BuildError("events outside the plausible ranges; see range_violations()")
-    built = models(raw_events, metrics, aliases)
+    written, failing = checked(staging.stage_events(raw_events, aliases))
+    if stop_on_violation and failing:
+        raise BuildError(f"{failing} events outside the plausible ranges; see range_violations()")
+    stage = written.drop("failed")
+    built = models_of(stage, staging.stage_metrics(metrics, aliases))
     publish(stage, "stg_traffic_events", "staging", "view")
     publish(built.metrics, "stg_traffic_metrics_5min", "staging", "view")
     publish(built.events, "int_traffic_events_deduplicated", "intermediate", "view")

@@ -77,6 +77,11 @@ def fact_events(events: DataFrame) -> DataFrame:
     )
 
 
+def set_aside(staged: DataFrame) -> DataFrame:
+    """Rows out of range with the fields at fault, by day."""
+    return staged.select(date_key(F.to_date("event_ts")).alias("date_key"), *staged.columns)
+
+
 def fact_5min(metrics: DataFrame) -> DataFrame:
     """Window grain with its date key."""
     return metrics.select(

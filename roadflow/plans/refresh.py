@@ -2,7 +2,8 @@
 
 An event id carries its event time, so the records of an id normally lie in one day, and a day's facts depend on that
 day's rows alone. Where a record was sent again under the same id for another day, the day that has the id so far is
-rebuilt as well. Facts of those days are replaced; dimensions are merged with their tables.
+rebuilt as well; an index from ids to days, split by a hash of the id, tells which. Facts of those days are replaced; dimensions are
+merged with their tables. Rows outside the plausible ranges are set aside and stop nothing.
 """
 
 from __future__ import annotations
@@ -16,18 +17,18 @@ from pyspark.sql import types as T
 
 from roadflow.functions.times import wall_clock
 from roadflow.operators.dedup import keep_latest
-from roadflow.operators.quality import range_violations
 from roadflow.plans import marts, staging
 from roadflow.plans.build import (
     METRIC_SCHEMA,
     METRIC_TABLE_SCHEMA,
     RAW_SCHEMA,
-    BuildError,
+    checked,
     typed_metrics,
     typed_raw,
 )
 from roadflow.session import staged
-from roadflow.sources.tables import load_new_batches, publish, table_name
+from roadflow.sources import ledger
+from roadflow.sources.tables import publish, table_name
 
 LOADS = {
     "raw": (RAW_SCHEMA, RAW_SCHEMA, "event_ts", None),
@@ -35,13 +36,67 @@ LOADS = {
 }
 SEGMENT = ["road_segment_id", "area", "road_name", "latitude", "longitude"]
 NEWEST = ["generated_at", "event_ts"]
+ID_BUCKETS = 64
+
+
+def load_new(spark: SparkSession, lake: str, warehouse: str) -> None:
+    """Load the stream's new files of every table; what was lost is in the ledgers, see ``load_errors``."""
+    for name, (given, wanted, time, renames) in LOADS.items():
+        ledger.load(
+            spark,
+            f"{lake}/{name}",
+            given,
+            f"{warehouse}/{name}",
+            wanted,
+            f"{warehouse}/ledger/{name}",
+            {"event_date": F.to_date(wall_clock(time))},
+            ["event_date"],
+            renames,
+        )
+
+
+def load_errors(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
+    """Broken or empty files and lost values of all loads of a table."""
+    return ledger.errors(spark, f"{warehouse}/ledger/{name}")
+
+
+def _schema(name: str) -> T.StructType:
+    return T.StructType([*LOADS[name][1].fields, T.StructField("event_date", T.DateType())])
 
 
 def loaded(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
-    """A loaded table with its load number and day."""
-    extra = [T.StructField("load_id", T.LongType()), T.StructField("event_date", T.DateType())]
-    schema = T.StructType([*LOADS[name][1].fields, *extra])
-    return spark.read.schema(schema).parquet(f"{warehouse}/{name}")
+    """A loaded table with its load number (below zero for compacted loads) and day."""
+    return ledger.loaded(
+        spark, f"{warehouse}/{name}", _schema(name), f"{warehouse}/ledger/{name}", f"{warehouse}/compactions/{name}"
+    )
+
+
+def compact(spark: SparkSession, warehouse: str, layer: str = "marts") -> dict[str, int | None]:
+    """Bring the folders of loads that are built into one folder a table, and the index of ids into one file a bucket."""
+    done = _built(spark, table_name("builds", layer))
+    numbers = {
+        name: ledger.compact(
+            spark,
+            f"{warehouse}/{name}",
+            _schema(name),
+            f"{warehouse}/ledger/{name}",
+            f"{warehouse}/compactions/{name}",
+            done[name],
+            ["event_date"],
+        )
+        for name in LOADS
+    }
+    index = table_name("event_days", layer)
+    if spark.catalog.tableExists(index):
+        publish(staged(spark.table(index).distinct(), "event_days"), "event_days", layer, partition_by=["id_bucket"])
+    return numbers
+
+
+def _built(spark: SparkSession, builds: str) -> dict[str, int]:
+    """The last load of each table that a run has built."""
+    if not spark.catalog.tableExists(builds):
+        return dict.fromkeys(LOADS, 0)
+    return spark.table(builds).agg(*[F.max(n).alias(n) for n in LOADS]).first().asDict()
 
 
 def touched_days(table: DataFrame, after: int) -> list[date]:
@@ -50,18 +105,24 @@ def touched_days(table: DataFrame, after: int) -> list[date]:
     return sorted(r.event_date for r in days.dropna().collect())
 
 
-def moved_days(table: DataFrame, after: int, facts: str) -> list[date]:
-    """Days whose published facts hold an id that a later load brings, whatever day it brings it for."""
-    spark = table.sparkSession
-    if not spark.catalog.tableExists(facts):
-        return []
-    ids = table.filter(F.col("load_id") > after).select("event_id").dropna().distinct()
-    found = spark.table(facts).join(ids, "event_id", "left_semi").select(F.to_date("event_ts").alias("day")).distinct()
-    return sorted(r.day for r in found.collect())
+def new_ids(table: DataFrame, after: int) -> DataFrame:
+    """id_bucket, event_id and day of the rows of later loads; the text of ids is tidied as staging does."""
+    rows = staging.stage_events(table.filter(F.col("load_id") > after)).dropna(subset=["event_id", "event_date"])
+    bucket = F.pmod(F.xxhash64("event_id"), F.lit(ID_BUCKETS)).cast("int")
+    return rows.select(bucket.alias("id_bucket"), "event_id", F.col("event_date").alias("day")).distinct()
+
+
+def known_days(ids: DataFrame, index: str) -> DataFrame:
+    """Entries of the index for the same ids; only the buckets that hold one of them are read, and no fact."""
+    spark = ids.sparkSession
+    if not spark.catalog.tableExists(index):
+        return ids.limit(0)
+    wanted = ids.select("id_bucket", "event_id").distinct()
+    return spark.table(index).join(wanted, ["id_bucket", "event_id"], "left_semi").select(*ids.columns).distinct()
 
 
 def drop_days(spark: SparkSession, full: str, days: list[date], present: DataFrame) -> None:
-    """Remove the partitions of rebuilt days that have no fact left."""
+    """Remove the partitions of rebuilt days that have no row left."""
     left = {r.date_key for r in present.select("date_key").distinct().collect()}
     for key in {int(d.strftime("%Y%m%d")) for d in days} - left:
         if spark.catalog.tableExists(full):
@@ -84,35 +145,35 @@ def refresh(
 ) -> list[date]:
     """Load the stream's new files and rebuild the days they touch; returns those days.
 
-    The loads that a run has built are recorded last, so a run that fails is repeated in full by the next.
+    Rows with a value out of range are published by day as ``events_set_aside``, with the fields at fault; they are
+    no facts, and a corrected record takes their place as soon as it comes. The loads that a run has built are recorded
+    last, so a run that fails is repeated in full by the next.
     """
-    for name, (given, wanted, time, renames) in LOADS.items():
-        day = F.to_date(wall_clock(time))
-        load_new_batches(
-            spark, f"{lake}/{name}", given, f"{warehouse}/{name}", wanted, f"{warehouse}/loads/{name}", day, renames
-        )
-    builds = table_name("builds", layer)
-    done = dict.fromkeys(LOADS, -1)
-    if spark.catalog.tableExists(builds):
-        done = spark.table(builds).agg(*[F.max(n).alias(n) for n in LOADS]).first().asDict()
+    load_new(spark, lake, warehouse)
+    builds, index = table_name("builds", layer), table_name("event_days", layer)
+    done = _built(spark, builds)
     tables = {name: loaded(spark, warehouse, name) for name in LOADS}
     days = {name: touched_days(table, done[name]) for name, table in tables.items()}
     if not any(days.values()):
         return []
-    facts = table_name("fact_traffic_events", layer)
-    days["raw"] = sorted({*days["raw"], *moved_days(tables["raw"], done["raw"], facts)})
+    ids = staged(new_ids(tables["raw"], done["raw"]), "new-ids")
+    known = staged(known_days(ids, index), "known-days")
+    moved = [r.day for r in known.select("day").distinct().collect()]  # one value a day
+    days["raw"] = sorted({*days["raw"], *moved})
 
     def rows(name: str) -> DataFrame:
         return tables[name].filter(F.col("event_date").isin(days[name])).drop("load_id", "event_date")
 
-    stage = staging.stage_events(typed_raw(rows("raw")), aliases)
-    if not range_violations(stage, ["event_id"]).isEmpty():
-        raise BuildError("events outside the plausible ranges; see range_violations()")
-    events = staged(marts.latest_events(stage), "events")
+    stage, _ = checked(staging.stage_events(typed_raw(rows("raw")), aliases))
+    events = staged(marts.latest_events(stage.filter("failed = ''").drop("failed")), "events")
     windows = staged(staging.stage_metrics(typed_metrics(rows("metrics")), aliases), "windows")
 
-    publish(marts.fact_events(events), "fact_traffic_events", layer, partition_by=["date_key"])
-    drop_days(spark, facts, days["raw"], marts.fact_events(events))
+    facts = marts.fact_events(events)
+    publish(facts, "fact_traffic_events", layer, partition_by=["date_key"])
+    drop_days(spark, table_name("fact_traffic_events", layer), days["raw"], facts)
+    aside = marts.set_aside(stage.filter("failed <> ''"))
+    publish(aside, "events_set_aside", layer, partition_by=["date_key"])
+    drop_days(spark, table_name("events_set_aside", layer), days["raw"], aside)
     publish(marts.fact_5min(windows), "fact_traffic_5min", layer, partition_by=["date_key"])
     distinct = {
         "dim_date": marts.dim_date(events, windows),
@@ -128,6 +189,8 @@ def refresh(
     publish(latest, "segment_latest", layer)
     publish(latest.select(*SEGMENT), "dim_road_segment", layer)
 
-    loads = [tables[n].agg(F.max("load_id")).scalar().alias(n) for n in LOADS]
+    fresh = ids.join(known, ids.columns, "left_anti").repartition("id_bucket")
+    fresh.select("event_id", "day", "id_bucket").write.mode("append").partitionBy("id_bucket").saveAsTable(index)
+    loads = [F.lit(spark.read.schema(ledger.LEDGER).parquet(f"{warehouse}/ledger/{n}").agg(F.max("load_id")).first()[0]).alias(n) for n in LOADS]
     spark.range(1).select(*loads).write.mode("append").saveAsTable(builds)
     return sorted(set(days["raw"]) | set(days["metrics"]))

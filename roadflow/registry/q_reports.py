@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from roadflow.operators import quality, reports, sequences
 from roadflow.plans import marts
 from roadflow.registry.catalog import latest, query, sql_mean, staged_metrics, valid_events
 from roadflow.registry.observations import observations, segments
+from roadflow.session import staged
 
 TECH = ["Whitefield", "Electronic City", "Outer Ring Road"]
 
@@ -209,6 +211,33 @@ def lag_by_anomaly(spark, d):
     return reports.arrival_lag(observations(spark, d))
 
 
+_SHARES = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+
+
+@query(
+    "lag_quantiles",
+    f"""SELECT anomaly_type, area, count(*) AS n, {', '.join(f'true AS {q}_within' for q in _SHARES)}
+       FROM obs WHERE event_ts IS NOT NULL AND generated_at IS NOT NULL GROUP BY ALL""",
+)
+def lag_quantiles(spark, d):
+    """Lags by kind and area from sketches by kind, area and day; whether each is within 1 % of its rank among all rows."""
+    events = observations(spark, d).dropna(subset=["event_ts", "generated_at"])
+    keys = ["anomaly_type", "area"]
+    by_day = reports.lag_sketches(events.withColumn("day", F.to_date("event_ts")), [*keys, "day"])
+    found = staged(reports.lag_quantiles(by_day, keys), "quantiles")
+    millis = F.timestamp_diff("MILLISECOND", F.col("event_ts"), F.col("generated_at"))
+    same = [F.col(f"e.{k}").eqNullSafe(F.col(f"q.{k}")) for k in keys]
+    rows = events.select(*keys, millis.alias("lag")).alias("e").join(found.alias("q"), same[0] & same[1])
+    counts = [f(F.when(condition, 1)).alias(f"{q}_{name}") for q in _SHARES for name, f, condition in (
+        ("below", F.count, F.col("lag") < F.col(q)), ("upto", F.count, F.col("lag") <= F.col(q)))]
+    ranks = rows.groupBy(*[F.col(f"q.{k}").alias(k) for k in keys], "q.n").agg(*counts)
+    within = [
+        ((F.col(f"{q}_below") <= (p + 0.01) * F.col("n")) & (F.col(f"{q}_upto") >= (p - 0.01) * F.col("n"))).alias(f"{q}_within")
+        for q, p in _SHARES.items()
+    ]
+    return ranks.select(*keys, "n", *within)
+
+
 @query(
     "late_events",
     """SELECT area, count(*) AS n, count(*) FILTER (late) AS late, round(avg(late::INT), 6) AS late_share

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadflow.functions import fixed
-from roadflow.functions.times import wall_clock
+from roadflow.functions.times import event_instant, wall_clock
 from roadflow.operators.dedup import keep_latest
 from roadflow.operators.records import computed_once
 from roadflow.operators.windows import window_metrics
-from roadflow.registry.catalog import DECIMALS, VALID_SQL, query, sql_metrics, sql_only
-from roadflow.registry.observations import messages, observations_of, table
-from roadflow.session import scratch_path
-from roadflow.streaming import jobs
+from roadflow.plans import corrections
+from roadflow.registry.catalog import DECIMALS, VALID_SQL, query, sql_metrics, sql_only, valid_events
+from roadflow.registry.observations import messages, observations, observations_of, table
+from roadflow.session import scratch_path, setting, staged
+from roadflow.streaming import jobs, reorder
 
 ALIASES = {"Moderate": "Medium"}
 
@@ -103,6 +106,64 @@ def stream_outputs(spark, d):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+SLICES = 4
+
+
+def sliced(df: DataFrame, name: str) -> str:
+    """Write messages as text files of about equal spans of time, one span after the other; returns the folder."""
+    folder, spark = scratch_path(df.sparkSession, name), df.sparkSession
+    at = event_instant(F.get_json_object("value", "$.event_timestamp"))
+    rows = staged(df.select("value", F.unix_micros(at).alias("at")), name)
+    low, high = rows.agg(F.min("at"), F.max("at")).first()
+    width = (high - low) // SLICES + 1
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
+        for k in range(SLICES):
+            part = rows.filter(F.floor((F.col("at") - low) / width) == k).select("value")
+            part.coalesce(1).write.mode("append").text(folder)  # a file a slice, so that a trigger is a slice
+    return folder
+
+
+@query(
+    "stream_reordered",
+    f""", {CLEAN_SQL}
+    SELECT generated_at, event_id, vehicle_count, anomaly_type, true AS in_order,
+      date_trunc('minute', generated_at) + INTERVAL 1 MINUTE <= (SELECT max(event_ts) - INTERVAL 10 MINUTES FROM cleaned)
+        AS released
+    FROM cleaned""",
+)
+def stream_reordered(spark, d):
+    """Every message read in event order, given out in arrival order: whether a row comes after all rows of earlier batches,
+    and whether the frontier has passed it; the rest is read from the stream's state."""
+    folder = sliced(messages(observations(spark, d)), "reorder")
+    rows = jobs.clean_stream(jobs.file_stream(spark, folder, max_files=1), aliases=ALIASES)
+    rows = rows.withColumn("arrived", event_instant("generated_at"))
+    path, checkpoint = scratch_path(spark, "reordered"), scratch_path(spark, "reordered-checkpoint")
+    reorder.ordered_sink(reorder.released(rows, "arrived"), path, checkpoint, "arrived", drain=True).awaitTermination()
+    given = reorder.in_order(spark, path, rows.schema, "arrived")
+    spans = given.groupBy(reorder.BATCH).agg(F.min("arrived").alias("low"), F.max("arrived").alias("high"))
+    earlier = F.max("high").over(Window.orderBy(reorder.BATCH).rowsBetween(Window.unboundedPreceding, -1))  # a row a batch
+    spans = spans.select(reorder.BATCH, earlier.alias("earlier"))
+    after = F.col("earlier").isNull() | (F.col("arrived") >= F.col("earlier"))
+    out = given.join(spans, reorder.BATCH).select(*rows.columns, after.alias("in_order"), F.lit(True).alias("released"))
+    held = reorder.still_held(spark, checkpoint, rows.schema)
+    out = out.unionByName(held.select(*rows.columns, F.lit(True).alias("in_order"), F.lit(False).alias("released")))
+    return out.select(
+        wall_clock("arrived").alias("generated_at"), "event_id", "vehicle_count", "anomaly_type", "in_order", "released"
+    )
+
+
+@query("win5_corrected", sql_metrics("latest"))
+def win5_corrected(spark, d):
+    """Metrics of three loads with late and repeated rows, folded one after the other; the second is folded twice."""
+    layer = f"corrections_{uuid.uuid4().hex}"
+    rows = staged(valid_events(spark, d).withColumn("part", F.pmod(F.xxhash64("event_id", "generated_at"), F.lit(3))), "loads")
+    for number in (1, 2, 2, 3):
+        corrections.fold(rows.filter(F.col("part") == number - 1).drop("part"), DECIMALS, layer, number)
+    found = staged(corrections.corrected(spark, layer, DECIMALS), "corrected")
+    spark.sql(f"DROP DATABASE {layer} CASCADE")
+    return found
+
+
 _STATE_COLUMNS = "area, road_segment_id"
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +49,17 @@ def session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the time of a block; afterwards it is what it was."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
 
@@ -76,13 +89,18 @@ def drop_staged(spark: SparkSession) -> int:
 
     For a caller that is done with everything that was built on them: what a build returns still reads them.
     """
-    fs, done = spark._jvm.org.apache.hadoop.fs, 0
+    done = 0
     while _staged_paths:
-        path = fs.Path(_staged_paths.pop())
-        done += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        done += delete_path(spark, _staged_paths.pop())
     return done
 
 
+def delete_path(spark: SparkSession, name: str) -> bool:
+    """Delete a folder in any store that Spark can reach; whether there was one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a result once to the shared folder and read it back; ``drop_staged`` removes it again.
 

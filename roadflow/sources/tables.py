@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadflow.session import setting
+
 
 def by_name(df: DataFrame, target: T.StructType, renames: Mapping[str, str] | None = None) -> DataFrame:
     """The target's columns, matched to the input by name in any letter case; absent ones are NULL.
@@ -43,7 +45,6 @@ def load_new_files(
     The checkpoint remembers the files, and a restart repeats nothing. Unreadable files are skipped, and values that do
     not fit become NULL; ``load_errors`` reports both. Every batch is counted, however many there are.
     """
-    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 1_000_000)
     reader = (
         spark.readStream.schema(source_schema)
         .option("ignoreCorruptFiles", True)
@@ -52,14 +53,15 @@ def load_new_files(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     matched = by_name(reader.format(kind).load(source), target_schema, renames)
-    query = (
+    writer = (
         matched.writeStream.format("parquet")
         .outputMode("append")
         .partitionBy(*partition_by)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(target_path)
     )
+    with setting(spark, "spark.sql.streaming.numRecentProgressUpdates", str(2**31 - 1)):  # read when a query starts
+        query = writer.start(target_path)
     query.awaitTermination()
     return sum(p["numInputRows"] for p in query.recentProgress)
 
@@ -117,45 +119,6 @@ def load_errors(
     return lost.unionByName(silent)
 
 
-def load_new_batches(
-    spark: SparkSession,
-    source: str,
-    source_schema: T.StructType,
-    target_path: str,
-    target_schema: T.StructType,
-    checkpoint: str,
-    day: Column,
-    renames: Mapping[str, str] | None = None,
-) -> None:
-    """As ``load_new_files``, into folders by load number and day.
-
-    A load that is repeated after a failure has the same number and the same rows, so it replaces its own
-    folders: every row is stored once, and later jobs can ask which days a load touched.
-    """
-
-    def store(batch: DataFrame, number: int) -> None:
-        (
-            by_name(batch, target_schema, renames)
-            .withColumns({"load_id": F.lit(number).cast("long"), "event_date": day})
-            .hint("rebalance", "event_date")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("load_id", "event_date")
-            .parquet(target_path)
-        )
-
-    reader = spark.readStream.schema(source_schema).option("ignoreCorruptFiles", True)
-    query = (
-        reader.option("recursiveFileLookup", True)
-        .parquet(source)
-        .writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-
-
 def layer_database(layer: str | None, default: str = "default") -> str:
     """Database of a model layer; models without a layer go to the default database."""
     return layer.strip() if layer else default

@@ -134,3 +134,44 @@ def test_every_message_is_in_one_of_three_outputs(spark, lake):
     assert sorted(r.reasons for r in read(spark, out, "rejects").collect())[-1] == "vehicle_count_negative"
     assert read(spark, out, "rejects").count() == 3
     assert sorted(r.value for r in read(spark, out, "dead_letters").collect()) == ["[1]", "broken"]
+
+
+def reorder_run(spark, folder, out, delay="10 minutes"):
+    from roadflow.functions.times import event_instant
+    from roadflow.streaming import reorder
+
+    rows = jobs.clean_stream(jobs.file_stream(spark, str(folder.path), max_files=1))
+    rows = rows.withColumn("arrived", event_instant("generated_at"))
+    stream = reorder.released(rows, "arrived", delay=delay, spread=3)
+    reorder.ordered_sink(stream, f"{out}/ordered", f"{out}/cp", "arrived", drain=True).awaitTermination()
+    found = reorder.in_order(spark, f"{out}/ordered", rows.schema, "arrived").collect()
+    held = reorder.still_held(spark, f"{out}/cp", rows.schema).collect()
+    return [(r.arrived, r.event_id) for r in found], [(r.arrived, r.event_id) for r in held], found
+
+
+@pytest.mark.parametrize("sizes", [[200], [3, 50, 1, 96, 50]])
+def test_delayed_rows_come_out_in_arrival_order(spark, tmp_path, sizes):
+    records, out = [], str(tmp_path / "out")
+    for k in range(200):
+        minute, lag = 480 + k // 2, (k * 7 % 50 if k % 5 == 0 else 0)
+        stamp, sent = (f"2026-07-01T{m // 60:02d}:{m % 60:02d}:{k % 2 * 30:02d}" for m in (minute, minute + lag))
+        key = f"WFD-{k:03d}_20260701T000000"
+        records.append(event(event_id=key, event_timestamp=f"{stamp}+05:30", generated_at=f"{sent}.5{k % 10}0+05:30", vehicle_count=k))
+    folder, at_ = Folder(tmp_path / "in"), 0
+    for i, size in enumerate(sizes):  # the stream stops after every file and goes on from its checkpoint
+        folder.arrive(*records[at_ : at_ + size])
+        at_ += size
+        if i % 2 == 0:
+            reorder_run(spark, folder, out)
+    given, held, rows = reorder_run(spark, folder, out)
+    assert len(given) > 120 and len(given) + len(held) == 200 and len(set(given + held)) == 200
+    assert given == sorted(given) and (not held or max(given) < min(held))
+    assert {r.vehicle_count for r in rows} <= set(range(200)) and all(r.area == "Whitefield" for r in rows)
+
+
+def test_a_row_behind_the_frontier_is_not_lost(spark, tmp_path):
+    folder, out = Folder(tmp_path / "in"), str(tmp_path / "out")
+    folder.arrive(at("08:00"), at("12:00"))
+    folder.arrive(at("07:00"), at("12:01"))
+    given, held, _ = reorder_run(spark, folder, out)
+    assert sorted(i[-6:] for _, i in given) == ["070000", "080000"] and len(held) == 2
