@@ -8,7 +8,7 @@ of its occurrences that are seeds or good instances, an instance with the shape
 pattern of high confidence and support that it occurs with. Such patterns then give spans of the kind ``id``.
 
 Occurrences that are neither seeds nor shaped count against a pattern. They are counted in a second reading of the texts,
-for patterns with enough support only; a bit table narrows them before the shuffle, the join decides.
+only for patterns that are good without them; a bit table narrows them before the shuffle, the join decides.
 """
 
 from __future__ import annotations
@@ -288,8 +288,12 @@ def _is_cue():
     return F.regexp_extract("pattern", r"^([a-z_]+)", 1).isin(sorted(CUES))
 
 
-def _graph(docs: DataFrame, rows: DataFrame, support: int) -> DataFrame:
-    """pattern, instance, n, seed, shaped: patterns by separators as text, those by surroundings as numbers."""
+def _graph(docs: DataFrame, rows: DataFrame, rounds: int, confidence: float, support: int) -> DataFrame:
+    """pattern, instance, n, seed, shaped: patterns by separators as text, those by surroundings as numbers.
+
+    Plain occurrences only lower a pattern's confidence, and so that of all that depend on it. So the rounds run
+    without them first: what is good in none of those rounds never is. Plain occurrences are counted for the rest.
+    """
     around = staged(
         rows.select(F.explode("around").alias("e"))
         .select("e.instance", F.col("e.seed").cast("int").alias("seed"), F.explode("e.patterns").alias("pattern"))
@@ -297,22 +301,35 @@ def _graph(docs: DataFrame, rows: DataFrame, support: int) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed")),
         "pattern-instances",
     )
-    often = staged(around.groupBy("pattern").agg(F.sum("n").alias("support")).filter(F.col("support") >= support).select("pattern"), "patterns")
-    against = _others(docs, often).select("pattern", F.lit("").alias("instance"), "n", F.lit(0).alias("seed"), F.lit(False).alias("shaped"))
-    near = around.withColumn("shaped", F.lit(True)).unionByName(against).join(often, "pattern")
+    often = around.groupBy("pattern").agg(F.sum("n").alias("support")).filter(F.col("support") >= support).select("pattern")
+    near = around.withColumn("shaped", F.lit(True)).join(often, "pattern")
     separated = (
         rows.select(F.explode("edges").alias("e"), F.lit(0).alias("seed"))
         .unionByName(rows.select(F.explode("seeds").alias("e"), F.lit(1).alias("seed")))
         .groupBy("e.pattern", "e.instance")
         .agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed"), F.max("e.shaped").alias("shaped"))
     )
-    return staged(separated.unionByName(near.withColumn("pattern", F.col("pattern").cast("string"))), "pattern-graph")
+    hopeful = staged(separated.unionByName(near.withColumn("pattern", F.col("pattern").cast("string"))), "hopeful-graph")
+    ever = _rounds(hopeful, rounds, confidence, support)
+    names = ever[0].select("pattern")
+    for more in ever[1:]:
+        names = names.unionByName(more.select("pattern"))
+    numbered = staged(names.select(F.col("pattern").try_cast("long").alias("pattern")).dropna().distinct(), "hopeful-numbers")
+    against = _others(docs, numbered).join(numbered, "pattern").select(
+        F.col("pattern").cast("string"), F.lit("").alias("instance"), "n", F.lit(0).alias("seed"), F.lit(False).alias("shaped")
+    )
+    return staged(hopeful.unionByName(against), "pattern-graph")
 
 
 def good_patterns(
     graph: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: int = SUPPORT
 ) -> DataFrame:
-    """Patterns of enough confidence and support, from the graph.
+    """Patterns of enough confidence and support, from the graph; see ``_rounds``."""
+    return _rounds(graph, rounds, confidence, support)[-1]
+
+
+def _rounds(graph: DataFrame, rounds: int, confidence: float, support: int) -> list[DataFrame]:
+    """The good patterns of the start and of every round.
 
     A pattern starts with the share of its occurrences that are seeds. A cue is one good occurrence more, and starts as
     good. An instance is as good as the best of the patterns that are good so far, so weak ones do not raise each other.
@@ -326,8 +343,9 @@ def good_patterns(
         return rows.select("pattern", (F.col("n") + prior).alias("support"), ((F.col("good") + prior) / (F.col("n") + prior)).alias("confidence"))
 
     first = scored(graph, F.col("seed")).withColumn("confidence", F.when(cue, F.lit(1.0)).otherwise(F.col("confidence")))
-    good = staged(first.filter(enough), "good-patterns")
+    found = [staged(first.filter(enough), "good-patterns")]
     for _ in range(rounds):
+        good = found[-1]
         instances = (
             graph.filter("shaped")
             .join(good, "pattern", "left")
@@ -337,8 +355,8 @@ def good_patterns(
         )
         again = graph.filter("shaped").join(instances, "instance", "left").select("pattern", "n", F.coalesce("good", F.lit(0.0)).alias("good"))
         again = again.unionByName(graph.filter("not shaped").select("pattern", "n", F.lit(0.0).alias("good")))
-        good = staged(scored(again, F.col("good")).filter(enough), "good-patterns")
-    return good
+        found.append(staged(scored(again, F.col("good")).filter(enough), "good-patterns"))
+    return found
 
 
 def scanned(
@@ -350,7 +368,7 @@ def scanned(
     columns are not read. A found span never overlaps a base span.
     """
     rows = staged(_observed(docs).withColumn("row", F.monotonically_increasing_id()), "spans")
-    good = good_patterns(_graph(docs, rows, support), rounds, confidence, support)
+    good = good_patterns(_graph(docs, rows, rounds, confidence, support), rounds, confidence, support)
     separated = rows.select("row", F.explode("edges").alias("e")).filter("e.shaped")
     around = rows.select("row", F.explode("around").alias("e")).filter("not e.seed")
     further = (

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 from conftest_llm import EDGES
 from roadflow.llm import personal_data as pd_
 
@@ -91,3 +92,19 @@ def test_rounds_and_support_revise_cues(docs_of):
     rows = [(1, "a token = 'ab12cd34'")]
     assert [len(r.found) for r in pd_.scanned(docs_of(rows), support=2).collect()] == [1]
     assert [len(r.found) for r in pd_.scanned(docs_of(rows), support=3).collect()] == [0]
+
+
+def test_plain_occurrences_of_hopeful_patterns_are_enough(docs_of, monkeypatch):
+    rng = np.random.default_rng(11)
+    rows = []
+    for k in range(120):
+        number, word = f"AB{rng.integers(10**6):06d}", f"word{rng.integers(9)}"
+        rows.append((k, f"write to user{k}@mail.example.org or call. case id {number if k % 3 else word} was {word} here"))
+        rows.append((1000 + k, f"mail to {'user%d@mail.example.org' % k if k % 4 else number} now, {word} and {number}"))
+    docs = docs_of(rows)
+    found = pd_.scanned(docs).select("doc_id", "found").collect()
+    # The same with plain occurrences of every pattern that has the support.
+    kept = pd_._rounds
+    monkeypatch.setattr(pd_, "_rounds", lambda graph, *a: [graph.filter("shaped").select("pattern").distinct(), *kept(graph, *a)])
+    assert sorted(map(repr, pd_.scanned(docs).select("doc_id", "found").collect())) == sorted(map(repr, found))
+    assert any(r.found for r in found)
