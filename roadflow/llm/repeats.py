@@ -35,6 +35,8 @@ from roadflow.session import staged
 
 SETTLED, OPEN, WIDE = 1, 2, 3  # WIDE: open, with so many windows that they are dealt one by one
 WIDE_WINDOWS = 1 << 16
+FEW, MANY = 1 << 16, 1 << 20  # entries of a bucket
+LEAST_BUCKETS = 8
 FLUSH = 1 << 20  # entries that a task gathers before it sends them
 UNKNOWN_ID = 1 << 62
 NONE = np.zeros(0, np.uint64)
@@ -112,15 +114,20 @@ class Anchored:
         return starts[good], own[good]
 
 
-def document_key() -> Column:
-    """The id; for a null id a number above all ids, from the text."""
+def document_key(known: Column) -> Column:
+    """The id as a number; for a null id a number above all ids, from the text."""
     unknown = F.lit(UNKNOWN_ID) + F.xxhash64("text").bitwiseAND(F.lit(UNKNOWN_ID - 1))
-    return F.coalesce(F.col("doc_id").cast("long"), unknown)
+    return F.coalesce(known, unknown)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
+    """key, doc_id and text; ids that are no whole numbers are numbered in their own order, over the cluster."""
     rows = in_small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.select(document_key().alias("key"), "doc_id", "text")
+    if docs.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long"):
+        return rows.select(document_key(F.col("doc_id").cast("long")).alias("key"), "doc_id", "text")
+    ids = rows.select("doc_id").dropna().distinct().repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    numbered = staged(ids.withColumn("number", F.monotonically_increasing_id()), "ids")
+    return rows.join(numbered, "doc_id", "left").select(document_key(F.col("number")).alias("key"), "doc_id", "text")
 
 
 _ENTRIES = "bucket int, kind int, base long, a binary, x binary, doc binary, pos binary"
@@ -306,10 +313,17 @@ def _exchange(entries: DataFrame, rule: str, most: int = 0, many: np.ndarray = N
 
 
 def _buckets(df: DataFrame) -> int:
-    """Four a shuffle partition, so that the size of a bucket follows from the session's setting."""
     return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _bucket_count(df: DataFrame, entries: int) -> int:
+    """Buckets of ``FEW`` entries, or of up to ``MANY`` where the session's shuffle partitions would have more than four each.
+
+    So packs do not shrink as shuffles get wider, and a bucket's memory has a bound.
+    """
+    return max(LEAST_BUCKETS, min(-(-entries // FEW), max(_buckets(df), -(-entries // MANY))))
+
+
 def _anchored(batches: Iterator[pa.RecordBatch], units: Units) -> Iterator[tuple[np.ndarray, Anchored]]:
     for batch in batches:
         keys = batch.column(0).to_numpy()
@@ -319,9 +333,13 @@ def _anchored(batches: Iterator[pa.RecordBatch], units: Units) -> Iterator[tuple
 
 
 def crowded(rows: DataFrame, units: Units) -> np.ndarray:
-    """Anchors, sorted, that have more contexts than a quarter of what a bucket holds on average, and at most eight a bucket.
+    return _contexts(rows, units)[0]
+
+
+def _contexts(rows: DataFrame, units: Units) -> tuple[np.ndarray, int]:
+    """Anchors, sorted, that have a large share of all contexts (one part in 32 shuffle partitions), and the number of contexts.
 
-    Contexts are counted by lots of a task. A lot leaves out anchors with at most 1 / (8 buckets) of its contexts, so no
+    Contexts are counted by lots of a task. A lot leaves out anchors with at most that share of its contexts, so no
     count lacks more than that share of all.
     """
     share = 8 * _buckets(rows)
@@ -350,14 +368,15 @@ def crowded(rows: DataFrame, units: Units) -> np.ndarray:
     counts = staged(lots.groupBy("a").agg(F.sum("n").alias("n")), "anchor-counts")
     total = counts.filter("a is null").first()
     if total is None:
-        return NONE
+        return NONE, 0
     many = counts.filter(f"a is not null and n * {share} > {total['n']}").select("a").toPandas()
-    return np.sort(many["a"].to_numpy(np.int64).view(np.uint64))
+    return np.sort(many["a"].to_numpy(np.int64).view(np.uint64)), int(total["n"])
 
 
 def occurrences(rows: DataFrame, units: Units) -> DataFrame:
     """key, pos, kind: anchors whose windows all repeat (SETTLED) and anchors to compare by windows (OPEN, WIDE)."""
-    buckets, many = _buckets(rows), crowded(rows, units)
+    many, contexts = _contexts(rows, units)
+    buckets = _bucket_count(rows, contexts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = _Sender(units.rule, buckets)
@@ -374,7 +393,8 @@ def occurrences(rows: DataFrame, units: Units) -> DataFrame:
 
 def compared(rows: DataFrame, anchors: DataFrame, units: Units) -> DataFrame:
     """key, pos: starts of repeated windows around the OPEN and WIDE anchors."""
-    buckets = _buckets(rows)
+    left = anchors.filter(F.col("kind") != SETTLED).count()
+    buckets = _bucket_count(rows, left * (units.reach + 1) // 2)  # an anchor is that of about half the windows it lies in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = _Sender(units.rule, buckets)

@@ -130,3 +130,27 @@ def test_results_do_not_depend_on_how_entries_are_dealt(docs_of, monkeypatch, se
     got = suffix_dedup.without_repeats(docs_of(rows), window=24, prefix=7).collect()
     found = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got), key=repr)
     assert found == brute_bytes(rows, 24)
+
+
+@pytest.mark.parametrize("operator", [substring_dedup, suffix_dedup])
+def test_ids_of_text(spark, small, operator):
+    named = small.selectExpr("concat('u-', lpad(doc_id, 9, '0')) AS doc_id", "text").unionByName(
+        spark.createDataFrame([(None, "x " * 300), ("u-0", None)], "doc_id string, text string")
+    )
+    got = {r.doc_id: (r.n_removed, r.kept_sha256) for r in operator.without_repeats(named).collect()}
+    for r in operator.without_repeats(small).collect():
+        assert got[f"u-{r.doc_id:09d}"] == (r.n_removed, r.kept_sha256)
+    assert len(got) == small.count() + 2
+
+
+def test_buckets_follow_the_entries_and_not_the_shuffle_width(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        counts = []
+        for width in (8, 64, 211):
+            spark.conf.set("spark.sql.shuffle.partitions", width)
+            counts.append([repeats._bucket_count(spark.range(1), n) for n in (0, 1000, 206_147, 2_000_000)])
+            assert repeats._bucket_count(spark.range(1), 10**12) == 10**12 // repeats.MANY + 1
+        assert counts[0] == counts[1] == counts[2] == [8, 8, 8, 31]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
