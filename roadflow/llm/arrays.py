@@ -7,6 +7,8 @@ length in memory.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import sys
 import types
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame
 
 PIECE_BYTES = 1 << 20
 BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -55,13 +58,40 @@ def _factors(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def in_small_batches(df: DataFrame) -> DataFrame:
-    """The same table; its session sends at most ``BATCH_ROWS`` rows at a time to Python, as documents are large."""
-    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
-    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
-        conf.set(key, str(BATCH_ROWS))
+    """The same table; its session sends at most ``BATCH_ROWS`` rows and about ``BATCH_BYTES`` at a time to Python.
+
+    These settings of the session stay; a smaller one that it has already is kept.
+    """
+    conf = df.sparkSession.conf
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        if not 0 < _bytes(conf.get(key)) <= most:
+            conf.set(key, str(most))
     return df
 
 
+def _bytes(setting: str) -> int:
+    digits = setting.strip().lower().removesuffix("b")
+    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(digits[-1:], 1)
+    return int(digits[:-1] if scale > 1 else digits) * scale
+
+
+def giving_back(run):
+    """``run`` (batches in, batches out), after which the worker returns the memory that the task has freed."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            gc.collect()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library; others have no need of it
+            if trim is not None:
+                trim(0)
+
+    return whole
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts, one after the other, and where each begins (one more at the end); null is empty."""
     if isinstance(column, pa.ChunkedArray):

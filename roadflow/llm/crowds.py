@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadflow.llm.arrays import giving_back
+
 BLOCK = 256
 
 
@@ -79,7 +81,7 @@ def scanned(rows: DataFrame, keys: Sequence[str], found: Callable[[pa.Table], pa
                     yield batch
             held = [whole.slice(edges[last])] if table is not None else []
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(giving_back(run), schema)
 
 
 def _same(one: pa.Table, i: int, two: pa.Table, j: int, keys: Sequence[str]) -> bool:

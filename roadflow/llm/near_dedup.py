@@ -20,14 +20,14 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadflow.llm.arrays import LOWER, NOT_SPACE, Rolling, in_small_batches, mix, pieces, ranges, shingles, text_bytes, words
+from roadflow.llm import crowds
+from roadflow.llm.arrays import LOWER, NOT_SPACE, Rolling, giving_back, in_small_batches, mix, pieces, ranges, shingles, text_bytes, words
 from roadflow.session import staged
 
 WORDS = 5
@@ -144,7 +144,7 @@ def _signed(docs: DataFrame) -> DataFrame:
     return (
         in_small_batches(docs)
         .select("doc_id", node(F.col("text")).alias("node"), text.alias("text"))
-        .mapInArrow(run, f"doc_id {kind}, node long, size long, bands array<long>")
+        .mapInArrow(giving_back(run), f"doc_id {kind}, node long, size long, bands array<long>")
         .withColumn("row", F.monotonically_increasing_id())
     )
 
@@ -181,81 +181,49 @@ def _sketches(texts: DataFrame) -> DataFrame:
                     [batch.column(0).slice(a, b - a), pa.array([r.tobytes() for r in rows], pa.binary())], ["node", "sketch"]
                 )
 
-    return texts.select("node", "text").mapInArrow(run, "node long, sketch binary")
-
-
-def _likely(group: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of nodes of two blocks of a bucket that differ in class and whose sketches agree in enough slots.
-
-    A pair that meets in several buckets is given by that of its first common band only.
-    """
-    bucket, low, high = (group.column(c)[0].as_py() for c in ("bucket", "low", "high"))
-    own, nodes, size, label = (group.column(c).to_numpy() for c in ("own", "node", "size", "label"))
-    raw = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(nodes), -1)
-    bands, slots = np.ascontiguousarray(raw[:, : BANDS * 8]).view(np.int64), raw[:, BANDS * 8 :]
-    one, two = np.flatnonzero(own == low), np.flatnonzero(own == high)
-    fit = label[one][:, None] != label[two][None, :]
-    fit &= np.minimum(size[one][:, None], size[two]) >= (least + SLACK) * np.maximum(size[one][:, None], size[two])
-    if low == high:
-        fit &= nodes[one][:, None] < nodes[two][None, :]
-    # A third of the slots first: at the similarity sought, this test fails by chance once in a hundred million.
-    part = slots.shape[1] // 3
-    x, y = np.nonzero(fit)
-    for begin, end, wanted in ((0, part, least - 0.13), (0, slots.shape[1], least)):
-        keep = np.zeros(len(x), bool)
-        for k in range(0, len(x), 1 << 15):
-            i, j = one[x[k : k + (1 << 15)]], two[y[k : k + (1 << 15)]]
-            keep[k : k + (1 << 15)] = (slots[i, begin:end] == slots[j, begin:end]).mean(axis=1) >= wanted
-        x, y = x[keep], y[keep]
-    i, j = one[x], two[y]
-    common = (bands[i] == bands[j]).argmax(axis=1)
-    here = bands[i, common] == bucket
-    return nodes[i[here]], nodes[j[here]]
+    return texts.select("node", "text").mapInArrow(giving_back(run), "node long, sketch binary")
+
+
+def _likely(least: float):
+    """Of a meeting the pairs of nodes whose sketches agree in enough slots, each in its first common band only."""
+
+    def found(group: pa.Table) -> pa.RecordBatch | None:
+        bucket = group.column("bucket")[0].as_py()
+        home, large, nodes, label, size = (group.column(c).to_numpy() for c in ("home", "large", "node", "label", "size"))
+        raw = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(nodes), -1)
+        bands, slots = np.ascontiguousarray(raw[:, : BANDS * 8]).view(np.int64), raw[:, BANDS * 8 :]
+        one, two, fit = crowds.partners(home, large, nodes, label)
+        fit &= np.minimum(size[one][:, None], size[two]) >= (least + SLACK) * np.maximum(size[one][:, None], size[two])
+        # A third of the slots first: at the similarity sought, this test fails by chance once in a hundred million.
+        part = slots.shape[1] // 3
+        x, y = np.nonzero(fit)
+        for begin, end, wanted in ((0, part, least - 0.13), (0, slots.shape[1], least)):
+            keep = np.zeros(len(x), bool)
+            for k in range(0, len(x), 1 << 15):
+                i, j = one[x[k : k + (1 << 15)]], two[y[k : k + (1 << 15)]]
+                keep[k : k + (1 << 15)] = (slots[i, begin:end] == slots[j, begin:end]).mean(axis=1) >= wanted
+            x, y = x[keep], y[keep]
+        i, j = one[x], two[y]
+        if not len(i):
+            return None
+        common = (bands[i] == bands[j]).argmax(axis=1)
+        here = bands[i, common] == bucket
+        p, q = nodes[i[here]], nodes[j[here]]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
+
+    return found
 
 
 def _across_classes(placed: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) of members of a bucket that are in different classes and likely to be similar enough.
 
-    Crowded buckets are cut into blocks of about ``BLOCK`` members, and every two blocks meet in a group of their own, so
-    no task holds a whole bucket. What does not agree in ``similarity - SLACK`` of the slots is not given out: 336 slots
-    estimate 0.8 with a deviation of 0.022.
+    Members meet as ``crowds`` deals them: those of a bucket's largest class stay where they are. What does not agree in
+    ``similarity - SLACK`` of the slots is not given out: 336 slots estimate 0.8 with a deviation of 0.022.
     """
-    kept = placed.select("node").distinct()
-    sketches = staged(_sketches(texts.join(kept, "node")), "sketches")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
-    rows = placed.select("bucket", "node", "size", "label", own.alias("own"), other)
-    rows = rows.select("*", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")).drop("other")
-    rows = rows.join(sketches, "node").select("bucket", "low", "high", "own", "node", "size", "label", "sketch")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for table in chain(_tables(batches), [None]):
-            both = [t for t in (held, table) if t is not None]
-            if not both:
-                return
-            held = pa.concat_tables(both) if len(both) > 1 else both[0]
-            keys = [held.column(c).to_numpy() for c in ("bucket", "low", "high")]
-            new = np.zeros(len(held), bool)
-            for key in keys:
-                new[1:] |= key[1:] != key[:-1]
-            edges = [0, *np.flatnonzero(new).tolist(), len(held)]
-            last = len(edges) - 1 if table is None else len(edges) - 2  # the last group may go on in the next batch
-            found = [_likely(held.slice(p, q - p), similarity - SLACK) for p, q in zip(edges[:last], edges[1 : last + 1])]
-            if found:
-                x, y = (np.concatenate(c) for c in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
-            held = held.slice(edges[last]) if table is not None else None
-
-    dealt = rows.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
-
-
-def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    for batch in batches:
-        if batch.num_rows:
-            yield pa.Table.from_batches([batch])
+    met = crowds.meetings(placed, BLOCK)
+    sketches = staged(_sketches(texts.join(met.select("node").distinct(), "node")), "sketches")
+    rows = met.join(sketches, "node")
+    return crowds.scanned(rows, ["bucket", "block", "chunk"], _likely(similarity - SLACK), "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -267,7 +235,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
             yield batch.select(["a", "b"]).filter(good)
 
     one, two = (texts.select(F.col("node").alias(n), F.col("text").alias(f"text_{n}")) for n in "ab")
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(giving_back(run), "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -305,11 +273,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     without words, which have no other links. Other columns are not read; an empty table gives no rows.
     """
     signed = staged(_signed(docs), "signatures")
-    firsts = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    nodes = signed.alias("s").join(
-        firsts.alias("f"), (F.col("s.node") == F.col("f.node")) & F.col("s.doc_id").eqNullSafe(F.col("f.doc_id"))
-    )
-    nodes = staged(nodes.select("s.node", "s.size", "s.bands", "s.doc_id"), "nodes")
+    # One row a node: its texts are equal but for case, and so are their signatures.
+    nodes = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("bands").alias("bands"))
+    nodes = staged(nodes, "nodes")
     links = _links(nodes, docs, similarity)
     labels = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
@@ -362,6 +328,7 @@ def _links(nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
             (F.col("t.node") == F.col("n.node")) & F.col("t.doc_id").eqNullSafe(F.col("n.doc_id")),
         )
         .select("t.node", "t.text")
+        .dropDuplicates(["node"])  # rows that repeat their id and text
     )
     texts = staged(texts, "texts")
     first = staged(verified(spokes, texts, similarity), "links")
@@ -369,11 +336,7 @@ def _links(nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     placed = members.join(labels, "node", "left").select(
         "bucket", "node", "size", F.coalesce("label", "node").alias("label")
     )
-    split = placed.groupBy("bucket").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")
-    )
-    placed = placed.join(split.filter("low < high").select("bucket", "n"), "bucket")
-    rest = _across_classes(staged(placed, "split"), texts, similarity).join(spokes, ["a", "b"], "left_anti")
+    rest = _across_classes(staged(placed, "placed"), texts, similarity).join(spokes, ["a", "b"], "left_anti")
     second = verified(rest, texts, similarity)
     return staged(first.unionByName(second).distinct(), "links")
 

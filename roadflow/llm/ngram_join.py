@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadflow.llm import crowds
-from roadflow.llm.arrays import LOWER, NOT_SPACE, in_small_batches, mix, pieces, ranges, shingles, span_hashes, text_bytes, words
+from roadflow.llm.arrays import LOWER, NOT_SPACE, giving_back, in_small_batches, mix, pieces, ranges, shingles, span_hashes, text_bytes, words
 from roadflow.llm.near_dedup import components
 from roadflow.session import staged
 
@@ -105,7 +105,7 @@ def _sketch(docs: DataFrame, counters: int) -> tuple[bytes, float, int]:
         return pa.table({"slice": group.column("slice").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
     added = (
-        in_small_batches(docs).select("text").mapInArrow(count, "slice int, counts binary").groupBy("slice").applyInArrow(add, "slice int, counts binary")
+        in_small_batches(docs).select("text").mapInArrow(giving_back(count), "slice int, counts binary").groupBy("slice").applyInArrow(add, "slice int, counts binary")
     )
     found = np.zeros(counters, np.int64)
     for row in added.collect():  # SLICES rows, eight bytes a counter, whatever the input
@@ -130,7 +130,7 @@ def _sets(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "size"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return in_small_batches(docs).select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, node long, size long")
+    return in_small_batches(docs).select("doc_id", F.col("text").cast("string")).mapInArrow(giving_back(run), f"doc_id {kind}, node long, size long")
 
 
 def boundary(sets: DataFrame, beyond: float, percent: int = PERCENT) -> int:
@@ -178,7 +178,7 @@ def _postings(docs: DataFrame, classes: bytes, limit: int, percent: int) -> Data
                 yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["key", "node", "size", "large", "hot"])
 
     schema = "key long, node long, size int, large boolean, hot boolean"
-    return in_small_batches(docs).select(F.col("text").cast("string")).mapInArrow(run, schema)
+    return in_small_batches(docs).select(F.col("text").cast("string")).mapInArrow(giving_back(run), schema)
 
 
 def _listed(tokens, first, length, which):
@@ -243,7 +243,7 @@ def _bitmaps(texts: DataFrame) -> DataFrame:
                 maps = [parity(tokens[p:q], q - p) for p, q in zip(first[:-1].tolist(), first[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(maps, pa.binary())], ["node", "bitmap"])
 
-    return texts.mapInArrow(run, "node long, bitmap binary")
+    return texts.mapInArrow(giving_back(run), "node long, bitmap binary")
 
 
 def _possible(percent: int):
@@ -321,7 +321,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(linked(batch.column(2), batch.column(3), percent)))
 
     one, two = (texts.select(F.col("node").alias(n), F.col("text").alias(f"text_{n}")) for n in "ab")
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(giving_back(run), "a long, b long")
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -339,7 +339,7 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield rows.filter(fresh)
 
     text = F.col("text").cast("string")
-    found = in_small_batches(docs).filter("text IS NOT NULL").select(text).mapInArrow(run, "node long, text string")
+    found = in_small_batches(docs).filter("text IS NOT NULL").select(text).mapInArrow(giving_back(run), "node long, text string")
     return found.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
 
 

@@ -110,3 +110,12 @@ def test_edges(docs_of):
     assert sum(r.kept for r in got) == 6
     assert nd.without_near_copies(docs_of(rows)).count() == 6
     assert nd.classes(docs_of([])).count() == 0
+
+
+def test_repeated_rows_under_one_id_are_one_node(docs_of):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(7, text)] * 300 + [(None, text.upper())] * 5 + [(8, text + " tail")] + [(9, " ".join(f"v{i}" for i in range(40)))]
+    got = nd.classes(docs_of(rows)).collect()
+    assert len(got) == 307 and {(r.doc_id, r.class_id) for r in got} == {(7, 7), (None, 7), (8, 7), (9, 9)}
+    assert sum(r.kept for r in got) == 2
+    assert nd.without_near_copies(docs_of(rows)).count() == 2
