@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadflow.llm.arrays import LOWER, Rolling, in_small_batches, mix, pieces, text_bytes, words
+from roadflow.llm.arrays import LOWER, Rolling, giving_back, in_small_batches, mix, pieces, text_bytes, words
 from roadflow.llm.licences import INSIDE
 from roadflow.session import staged
 
@@ -170,7 +170,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WOR
 
     out = None
     for block in blocks(benchmark, block_words):
-        part = rows.mapInArrow(against(block), schema)
+        part = rows.mapInArrow(giving_back(against(block)), schema)
         out = part if out is None else staged(out, "overlaps").unionByName(staged(part, "overlaps"))
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 

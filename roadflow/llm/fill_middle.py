@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadflow.llm.arrays import in_small_batches, pieces, text_bytes
+from roadflow.llm.arrays import giving_back, in_small_batches, pieces, text_bytes
 
 SEED = 1
 PREFIX, SUFFIX, MIDDLE = SENTINELS = (b"<P>", b"<S>", b"<M>")
@@ -163,7 +163,7 @@ def _mapped(docs: DataFrame, extra: list[tuple[str, pa.DataType]], more) -> Data
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = ", ".join([f"doc_id {kind}", *OUTPUT, *[f"{name} string" for name, _ in extra]])
-    return in_small_batches(docs).select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema)
+    return in_small_batches(docs).select("doc_id", F.col("text").cast("string")).mapInArrow(giving_back(run), schema)
 
 
 def transformed(docs: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadflow.llm.arrays import LOWER, in_small_batches, pieces, text_bytes, words
+from roadflow.llm.arrays import LOWER, giving_back, in_small_batches, pieces, text_bytes, words
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
@@ -62,6 +62,61 @@ class Model:
     log_probs: np.ndarray  # BUCKETS x languages
 
 
+@dataclass
+class Usual:
+    """Log-probability of a trigram in learned texts: its mean, its variance within a text, and that of texts' means."""
+
+    mean: float
+    within: float
+    between: float
+
+
+LONG_TEXT = 200  # trigrams beyond which a text has no more weight, so that no single one says what is usual
+
+
+def text_fits(data: np.ndarray, offsets: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text its trigrams, and the sum and sum of squares of their log-probability, each word in the language that suits it best."""
+    cells, word_at, first = _trigram_cells(data, offsets)
+    n = len(offsets) - 1
+    if not len(word_at):
+        return np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+    table = model.log_probs[cells]
+    best = np.add.reduceat(table, word_at, axis=0).argmax(axis=1)
+    length = np.diff(np.append(word_at, len(cells)))
+    own = table[np.arange(len(cells)), np.repeat(best, length)].astype(float)
+    text = np.repeat(np.repeat(np.arange(n), np.diff(first)), length)
+    return np.bincount(text, minlength=n), np.bincount(text, own, n), np.bincount(text, own * own, n)
+
+
+def usual_fit(labelled: DataFrame, model: Model) -> Usual | None:
+    """How well the rows with a ``lang`` fit; None if they have no trigram."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(5)
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(0))
+            for a, b in pieces(offsets):
+                count, sums, squares = text_fits(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], model)
+                count, sums, squares = (v[count > 0] for v in (count, sums, squares))
+                weight, mean = np.minimum(count, LONG_TEXT), sums / count
+                spread = np.maximum(squares / count - mean * mean, 0.0)
+                total += [(weight * v).sum() for v in (np.ones(len(mean)), mean, mean * mean, spread, spread / count)]
+        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in total], _SUMS)
+
+    rows = in_small_batches(labelled).filter("lang is not null").select(F.coalesce("text", F.lit("")).alias("text"))
+    sums = rows.mapInArrow(giving_back(run), ", ".join(f"{c} double" for c in _SUMS))
+    row = sums.agg(*[F.sum(c).alias(c) for c in _SUMS]).first()
+    if not row.weight:
+        return None
+    mean, square, spread, chance = (row[c] / row.weight for c in _SUMS[1:])
+    return Usual(mean, max(spread, 1e-6), max(square - mean * mean - chance, LEAST_BETWEEN))
+
+
+_SUMS = ["weight", "mean", "square", "spread", "chance"]
+LEAST_BETWEEN = 0.01  # learned texts that are all alike do not make every other one unusual
+UNUSUAL = 18.0  # deviations below the usual fit from which on a text is in no learned language
+
+
 def fit(labelled: DataFrame, smoothing: float = SMOOTHING) -> Model:
     """Trigram counts of every row with a non-null ``lang``; the model has at most BUCKETS cells a language."""
 
@@ -88,7 +143,7 @@ def fit(labelled: DataFrame, smoothing: float = SMOOTHING) -> Model:
         in_small_batches(labelled)
         .filter("lang is not null")
         .select(F.col("lang").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
-        .mapInArrow(count, "lang string, cell long, n long")
+        .mapInArrow(giving_back(count), "lang string, cell long, n long")
         .groupBy("lang", "cell")
         .agg(F.sum("n").alias("n"))
         .toPandas()
@@ -188,7 +243,7 @@ def predicted(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
 
     kind = docs.schema[key].dataType.simpleString()
     rows = in_small_batches(docs).select(F.col(key), F.coalesce("text", F.lit("")).alias("text"), has_letter(F.col("text")).alias("letters"))
-    return rows.mapInArrow(run, f"{key} {kind}, lang_pred string, score double, languages array<string>")
+    return rows.mapInArrow(giving_back(run), f"{key} {kind}, lang_pred string, score double, languages array<string>")
 
 
 def has_letter(text: Column) -> Column:
@@ -207,27 +262,40 @@ def identified(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "languages")
 
 
-def with_language(docs: DataFrame, least: float = 0.3) -> DataFrame:
-    """``docs`` without those that have no language: ``und``, or no language with a share of ``least``.
+def with_language(docs: DataFrame, least: float = 0.3, unusual: float = UNUSUAL) -> DataFrame:
+    """``docs`` without those that have no language: no letter, no language with a share of ``least``, or a text that no learned language fits.
 
-    The columns stay as they are. Learned from the rows with a ``lang`` that are not held out.
+    The last is absolute: the mean log-probability of a text's trigrams lies more than ``unusual`` deviations below that of the learned
+    texts, a deviation made of how learned texts differ and of the chance in so few trigrams. So texts in other languages or scripts
+    go, and dumps of keys, though some language always suits them best. The columns stay as they are. Learned from the rows with a ``lang``
+    that are not held out.
     """
     docs = in_small_batches(docs)
-    model = fit(docs.filter(~held_out(F.col("doc_id"))).select("lang", "text"))
-    if not model.languages:  # nothing to learn from, so nothing can be rejected for its language
+    learned = docs.filter(~held_out(F.col("doc_id"))).select("lang", "text")
+    model = fit(learned)
+    usual = usual_fit(learned, model) if model.languages else None
+    if usual is None:  # nothing to learn from, so nothing can be rejected for its language
         return docs.filter(has_letter(F.col("text")))
-    share = _best_share(model)
-    return docs.filter(has_letter(F.col("text"))).filter(share(F.coalesce("text", F.lit(""))) >= least)
+    good = _accepted(model, usual, least, unusual)
+    return docs.filter(has_letter(F.col("text"))).filter(good(F.coalesce("text", F.lit(""))))
+
+
+def deviations(count: np.ndarray, sums: np.ndarray, usual: Usual) -> np.ndarray:
+    """How far each text's fit lies above the usual one, in deviations; 0 for texts without trigrams."""
+    n = np.maximum(count, 1)
+    return np.where(count > 0, (sums / n - usual.mean) / np.sqrt(usual.between + usual.within / n), 0.0)
 
 
-def _best_share(model: Model):
-    @F.pandas_udf("double")
-    def share(texts: pd.Series) -> pd.Series:
+def _accepted(model: Model, usual: Usual, least: float, unusual: float):
+    @F.pandas_udf("boolean")
+    def accepted(texts: pd.Series) -> pd.Series:
         data, offsets = text_bytes(pa.array(texts, pa.large_string()))
         out = []
         for a, b in pieces(offsets):
-            shares, _ = mixtures(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], model)
-            out.append(shares.max(axis=1))
-        return pd.Series(np.concatenate(out) if out else np.zeros(0))
+            part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            shares, _ = mixtures(part, at, model)
+            count, sums, _ = text_fits(part, at, model)
+            out.append((shares.max(axis=1) >= least) & (deviations(count, sums, usual) >= -unusual))
+        return pd.Series(np.concatenate(out) if out else np.zeros(0, bool))
 
-    return share
+    return accepted

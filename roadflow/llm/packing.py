@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadflow.llm.arrays import in_small_batches, text_bytes
+from roadflow.llm.arrays import giving_back, in_small_batches, text_bytes
 from roadflow.llm.arrays import pieces as text_pieces
 from roadflow.llm.tokens import Encoder
 from roadflow.session import staged
@@ -65,7 +65,7 @@ def tokenised(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: in
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = in_small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long").withColumn(
+    return rows.mapInArrow(giving_back(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long").withColumn(
         "row", F.monotonically_increasing_id()
     )
 

@@ -46,3 +46,18 @@ def test_without_labels_or_rows(docs_of):
     assert language.with_language(docs_of([(1, "some words"), (2, "12")])).count() == 1
     assert language.identified(docs_of([])).count() == 0
     assert language.with_language(docs_of([])).count() == 0
+
+
+def test_texts_that_no_learned_language_fits_are_rejected(spark, labelled):
+    clean = labelled.select("doc_id", "text", "lang").withColumn("doc_id", F.col("doc_id").cast("long"))
+    others = [
+        "Zażółć gęślą jaźń, niedaleko rzeki stoi dom i wszyscy śpią spokojnie przez całą noc",
+        "Tämä on suomenkielinen teksti, jossa kerrotaan pitkästä talvesta ja kylmästä järvestä",
+        "это русский текст о погоде и о людях",
+        "日本語の文章です。今日は天気がいい。",
+        "QmFzZTY0IGR1bXAgd2l0aCBsZXR0ZXJzIGFuZCBkaWdpdHM6IGFHVnNiRzg9IHhrODl6 " * 4,
+    ]
+    planted = spark.createDataFrame([(-1 - k, t, None) for k, t in enumerate(others)], "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in language.with_language(clean.unionByName(planted)).select("doc_id").collect()}
+    letters = {r.doc_id for r in clean.filter(language.has_letter(F.col("text"))).collect()}
+    assert not any(k < 0 for k in kept) and len(kept & letters) >= 0.99 * len(letters)
