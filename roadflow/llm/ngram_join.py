@@ -80,23 +80,36 @@ def least_overlap(size, percent: int = PERCENT):
     return -(-percent * (size + other) // (100 + percent))
 
 
-def _sketch(docs: DataFrame, counters: int) -> tuple[bytes, float, int]:
-    """Frequency class of every counter (0 for what is not clearly frequent), the mean number of further sets that a set
-    meets in a list of class 0, and the count up to which a counter has class 0."""
+def _read(docs: DataFrame, counters: int) -> DataFrame:
+    """One reading of the texts: doc_id, node and size of every row, and each task's sketch in rows of slice and counts."""
     slices = min(SLICES, counters)
-    wide = counters // slices
+    kind = docs.schema["doc_id"].dataType
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(counters, np.int64)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, ids = np.zeros(counters, np.int64), None
         for batch in batches:
-            data, offsets = text_bytes(batch.column(0))
+            ids = batch.column(0).type
+            data, offsets = text_bytes(batch.column(1))
             for a, b in pieces(offsets):
-                tokens, text = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                tokens, _ = distinct(tokens, text, b - a)
+                tokens, first = distinct(*shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]), b - a)
                 total += np.bincount((tokens % np.uint64(counters)).astype(np.int64), minlength=counters)
+                none = [pa.nulls(b - a, pa.int32()), pa.nulls(b - a, pa.binary())]
+                columns = [batch.column(0).slice(a, b - a), pa.array(nodes_of(tokens, first)), pa.array(np.diff(first)), *none]
+                yield pa.RecordBatch.from_arrays(columns, names)
         if total.any():
-            rows = total.astype(np.uint32).reshape(slices, wide)
-            yield pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())], ["slice", "counts"])
+            none = [pa.nulls(slices, ids), pa.nulls(slices, pa.int64()), pa.nulls(slices, pa.int64())]
+            counts = [r.tobytes() for r in total.astype(np.uint32).reshape(slices, -1)]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(range(slices), pa.int32()), pa.array(counts, pa.binary())], names)
+
+    names = ["doc_id", "node", "size", "slice", "counts"]
+    rows = in_small_batches(docs).select("doc_id", F.col("text").cast("string"))
+    return rows.mapInArrow(giving_back(run), f"doc_id {kind.simpleString()}, node long, size long, slice int, counts binary")
+
+
+def _sketch(read: DataFrame, counters: int) -> tuple[bytes, float]:
+    """Frequency class of every counter (0 for what is not clearly frequent), and the mean number of further sets that a
+    set meets in a list of class 0."""
+    wide = counters // min(SLICES, counters)
 
     def add(group: pa.Table) -> pa.Table:
         total = np.zeros(wide, np.int64)
@@ -104,33 +117,15 @@ def _sketch(docs: DataFrame, counters: int) -> tuple[bytes, float, int]:
             total += np.frombuffer(raw.as_buffer(), np.uint32)
         return pa.table({"slice": group.column("slice").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
-    added = (
-        in_small_batches(docs).select("text").mapInArrow(giving_back(count), "slice int, counts binary").groupBy("slice").applyInArrow(add, "slice int, counts binary")
-    )
+    added = read.filter("slice IS NOT NULL").select("slice", "counts").groupBy("slice").applyInArrow(add, "slice int, counts binary")
     found = np.zeros(counters, np.int64)
     for row in added.collect():  # SLICES rows, eight bytes a counter, whatever the input
         found[row["slice"] * wide : (row["slice"] + 1) * wide] = np.frombuffer(row["counts"], np.int64)
-    mean = found.mean()
-    limit = int(4 * mean + 16)
+    limit = int(4 * found.mean() + 16)
     classes = np.where(found > limit, np.floor(np.log2(np.maximum(found, 1))), 0).astype(np.uint8)
     usual = found[found <= limit].astype(float)
     beyond = float((usual**2).sum() / max(usual.sum(), 1.0) - usual.mean() - 1) if len(usual) else 0.0
-    return classes.tobytes(), max(0.0, beyond), limit
-
-
-def _sets(docs: DataFrame) -> DataFrame:
-    """doc_id, node and size of every row; the node of a set is the hash of its shingles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            for a, b in pieces(offsets):
-                tokens, first = distinct(*shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]), b - a)
-                columns = [batch.column(0).slice(a, b - a), pa.array(nodes_of(tokens, first)), pa.array(np.diff(first))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "size"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return in_small_batches(docs).select("doc_id", F.col("text").cast("string")).mapInArrow(giving_back(run), f"doc_id {kind}, node long, size long")
+    return classes.tobytes(), max(0.0, beyond)
 
 
 def boundary(sets: DataFrame, beyond: float, percent: int = PERCENT) -> int:
@@ -325,31 +320,32 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node and text, one text for each of the nodes ``wanted``."""
+    """node and text, one text for each of the nodes ``wanted`` (node, doc_id: a document that has the set).
+
+    Documents may share an id, so what is found by id is compared with the node.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
         for batch in batches:
-            data, offsets = text_bytes(batch.column(0))
+            data, offsets = text_bytes(batch.column(1))
             for a, b in pieces(offsets):
                 tokens, first = distinct(*shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]), b - a)
-                node = nodes_of(tokens, first)
-                fresh = pa.array([x not in seen and not seen.add(x) for x in node.tolist()], pa.bool_())
-                rows = pa.RecordBatch.from_arrays([pa.array(node), batch.column(0).slice(a, b - a)], ["node", "text"])
-                yield rows.filter(fresh)
+                same = nodes_of(tokens, first) == batch.column(0).slice(a, b - a).to_numpy()
+                yield batch.slice(a, b - a).filter(pa.array(same))
 
-    text = F.col("text").cast("string")
-    found = in_small_batches(docs).filter("text IS NOT NULL").select(text).mapInArrow(giving_back(run), "node long, text string")
-    return found.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
+    texts = docs.filter("text IS NOT NULL").select("doc_id", F.col("text").cast("string")).alias("t")
+    found = texts.join(wanted.alias("w"), F.col("t.doc_id").eqNullSafe(F.col("w.doc_id"))).select("node", "text")
+    return found.mapInArrow(giving_back(run), "node long, text string").dropDuplicates(["node"])
 
 
-def _links(docs: DataFrame, sets: DataFrame, percent: int, counters: int) -> DataFrame:
+def _links(docs: DataFrame, sets: DataFrame, firsts: DataFrame, sketch: tuple[bytes, float], percent: int) -> DataFrame:
     """Verified links (a, b) between different sets that connect all that are connected."""
-    classes, beyond, _ = _sketch(docs, counters)
+    classes, beyond = sketch
     limit = boundary(sets, beyond, percent)
     members = staged(_members(_postings(docs, classes, limit, percent)), "members")
     members = staged(_once(members), "members")
-    texts = staged(_texts_of(docs, members.select("node").distinct()), "texts")
+    wanted = firsts.join(members.select("node").distinct(), "node").select("node", F.col("first").alias("doc_id"))
+    texts = staged(_texts_of(docs, wanted), "texts")
     alike = F.least("size", "leader.size") * 100 >= F.greatest("size", "leader.size") * percent
     spokes = (
         members.filter(F.col("node") != F.col("leader.node"))
@@ -378,9 +374,10 @@ def joined(docs: DataFrame, percent: int = PERCENT, counters: int = COUNTERS) ->
     Documents without words (and null texts) are connected with nothing, not even with each other. A null doc_id is the
     largest; repeated rows have equal sets and so one component. Other columns are not read; an empty table gives no rows.
     """
-    sets = staged(_sets(docs), "sets")
-    firsts = sets.filter("size > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
-    labels = components(_links(docs, sets, percent, counters))
+    read = staged(_read(docs, counters), "sets")
+    sets = read.filter("slice IS NULL").select("doc_id", "node", "size")
+    firsts = staged(sets.filter("size > 0").groupBy("node").agg(F.min("doc_id").alias("first")), "firsts")
+    labels = components(_links(docs, sets, firsts, _sketch(read, counters), percent))
     named = firsts.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     named = staged(named, "named")
     smallest = named.groupBy("label").agg(F.min("first").alias("component_id"))
