@@ -7,10 +7,12 @@ skewed event side is split by adaptive execution.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadflow.functions import fixed
 from roadflow.functions.congestion import incident_capacity, recovery_capacity, recovery_minutes
@@ -92,6 +94,17 @@ def incident_windows(incidents: DataFrame, start: str = "start_ts") -> DataFrame
     return incidents.withColumn("end_ts", after(seconds)).withColumn("recovery_end_ts", after(seconds + extra))
 
 
+def interval_width(intervals: DataFrame, start: str = "start_ts", end: str = "end_ts") -> int:
+    """Seconds of a time bucket for these intervals: their mean length.
+
+    An interval touches about 1 + length / width buckets, so with the mean as the width all intervals together are listed
+    twice each on average, whether they last minutes or months. Reads the intervals once.
+    """
+    length = micros_between(start, end) / F.lit(1e6)
+    mean = intervals.filter(F.col(start) < F.col(end)).agg(F.avg(length)).first()[0]
+    return max(1, math.ceil(mean)) if mean is not None else 3600
+
+
 def incident_matches(
     events: DataFrame,
     incidents: DataFrame,
@@ -99,21 +112,24 @@ def incident_matches(
     time: str = "event_ts",
     start: str = "start_ts",
     end: str = "recovery_end_ts",
-    bucket_minutes: int = 60,
+    bucket_seconds: int | None = None,
     how: str = "inner",
 ) -> DataFrame:
     """Events within [start, end) of an incident on the same segment.
 
     Each incident is listed under every time bucket it touches, so the join has an equality on segment and
-    bucket: a busy segment is spread over its buckets, and no event meets an incident of another hour.
+    bucket: a busy segment is spread over its buckets, and an event, which is in one bucket, meets only what touches
+    it. The width comes from the incidents (``interval_width``) unless one is given; give written incidents, since they are
+    read for it. Bucket columns are dropped.
     """
+    width = bucket_seconds or interval_width(incidents, start, end)
+    # The last instant within the interval is a microsecond before its end.
     touched = F.sequence(
-        floor_time(start, bucket_minutes),
-        floor_time(F.col(end) - F.expr("INTERVAL 1 MICROSECOND"), bucket_minutes),
-        F.make_dt_interval(F.lit(0), F.lit(0), F.lit(bucket_minutes), F.lit(0)),
+        bucket_of(incidents, F.col(start), start, width),
+        bucket_of(incidents, F.col(end) - F.expr("INTERVAL 1 MICROSECOND"), end, width),
     )
     spread = incidents.filter(F.col(start) < F.col(end)).withColumn("_bucket", F.explode(touched)).alias("i")
-    cut = events.withColumn("_bucket", floor_time(time, bucket_minutes)).alias("e")
+    cut = events.withColumn("_bucket", bucket_of(events, F.col(time), time, width)).alias("e")
     on = (
         (F.col(f"e.{key}") == F.col(f"i.{key}"))
         & (F.col("e._bucket") == F.col("i._bucket"))
@@ -124,6 +140,19 @@ def incident_matches(
     return cut.join(spread, on, how).select(*[F.col(f"e.{c}") for c in events.columns], *kept)
 
 
+def bucket_of(df: DataFrame, value: Column, column: str, seconds: int) -> Column:
+    """Number of the ``seconds``-wide bucket that a time of ``column``'s type lies in, counted from 1970.
+
+    Instants are counted as they are, wall-clock times by date and time of day, so both grow with time in every session zone.
+    """
+    if df.schema[column].dataType == T.TimestampNTZType():
+        days = F.datediff(F.to_date(value), F.lit("1970-01-01").cast("date")).cast("long")
+        whole = days * 86400 + F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
+    else:
+        whole = F.unix_seconds(value)
+    return F.floor(whole / F.lit(seconds))
+
+
 def incident_phase(matches: DataFrame, kind: str = "active_incident", time: str = "event_ts") -> DataFrame:
     """Phase of a matched event, and its capacity factor: the incident's while it is active, then a ramp."""
     active = F.col(time) < F.col("end_ts")

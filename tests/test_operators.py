@@ -1,10 +1,11 @@
+import random
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from wire_records import event
 from roadflow.functions import fixed
-from roadflow.operators import dedup, joins, quality, records, reports, sequences, sets, windows
+from roadflow.operators import dedup, joins, quality, records, reports, sequences, sets, spells, windows
 from roadflow.sources.contract import EVENT_SCHEMA
 
 JULY = "2026-07-01 "
@@ -343,3 +344,46 @@ def test_unchanged_redeliveries_are_duplicates(spark):
     rows = counts.collect()
     assert sum(r.n for r in rows) == 7 and all(r.again == r.n - 1 for r in rows) and len(rows) == 3
     assert found.filter("detected NOT LIKE '%Missing_Field%'").count() == 0
+
+
+def test_buckets_follow_the_length_of_the_incidents(make):
+    minute = "2026-07-{:02d} {:02d}:{:02d}:00".format
+    intervals = [("A", minute(1, h, 7), minute(1, h, 12), f"short{h}") for h in range(20)]
+    intervals += [("A", minute(2, 0, 0), minute(30, 0, 0), "long"), ("A", minute(1, 3, 0), minute(1, 3, 0), "none")]
+    events = [("A", minute(d, h, m)) for d in (1, 2, 29, 30) for h in (0, 3, 19, 23) for m in (0, 7, 11, 12, 59)]
+    for kind in ("timestamp_ntz", "timestamp"):
+        seen = make(events, f"road_segment_id string, event_ts {kind}")
+        incidents = make(intervals, f"road_segment_id string, start_ts {kind}, end_ts {kind}, incident_id string")
+        width = joins.interval_width(incidents, end="end_ts")
+        assert width == -(-(20 * 300 + 28 * 86400) // 21)
+        wanted = {(e, i[3]) for _, e in events for i in intervals if i[1] <= e < i[2]}
+        for seconds in (None, 60, 7 * 86400 + 1):
+            found = joins.incident_matches(seen, incidents, end="end_ts", bucket_seconds=seconds).collect()
+            assert {(str(r.event_ts), r.incident_id) for r in found} == wanted and len(found) == len(wanted)
+    assert joins.interval_width(incidents.limit(0), end="end_ts") == 3600
+    assert joins.incident_matches(seen, incidents.limit(0), end="end_ts").count() == 0
+
+
+def test_flattened_spells_are_the_minute_timeline(make):
+    rng = random.Random(5)
+    day = "2026-07-{:02d} {:02d}:{:02d}:00".format
+    rows = []
+    for _ in range(150):
+        at = rng.randrange(6 * 1440)
+        until = at + rng.choice([0, 1, 30, 200, 2000])
+        stamps = [day(1 + m // 1440, m % 1440 // 60, m % 60) for m in (at, until)]
+        rows.append((rng.choice("ABC"), *stamps, rng.choice([*fixed.WEATHER, "rain", "Odd", None])))
+    rows += rows[:20] + [(None, day(1, 0, 0), day(2, 0, 0), "Rain"), ("D", day(1, 0, 0), day(29, 0, 0), "Clear")]
+    rows += [("D", day(3, 0, 0), day(3, 0, 1), "Rain"), ("E", day(1, 0, 0), None, "Rain"), ("E", day(2, 0, 0), day(1, 0, 0), "Rain")]
+    given = make(rows, "area string, start_ts timestamp_ntz, end_ts timestamp_ntz, weather string")
+    grid = windows.spells_to_timeline(given.filter("area IS NOT NULL"))
+    wanted = {(r.area, str(r.minute), r.area_weather) for r in grid.collect()}
+    for chunk in ("DAY", "HOUR"):
+        flat = spells.flatten_spells(given, chunk=chunk).withColumn("weather", F.col("area_weather"))
+        found = flat.orderBy("area", "start_ts").collect()
+        assert {(r.area, str(r.minute), r.area_weather) for r in windows.spells_to_timeline(flat).collect()} == wanted
+        for a, b in zip(found, found[1:]):
+            if a.area == b.area:
+                assert a.end_ts < b.start_ts or (a.end_ts == b.start_ts and a.weather_rank != b.weather_rank)
+        assert [r.area_weather for r in found if r.area == "D"] == ["Clear", "Rain", "Clear"]
+    assert spells.flatten_spells(given.limit(0)).count() == 0
