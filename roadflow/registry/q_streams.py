@@ -123,6 +123,22 @@ def sliced(df: DataFrame, name: str) -> str:
     return folder
 
 
+@query(
+    "stream_shared_read",
+    f""", {CLEAN_SQL}
+    SELECT * FROM ({sql_metrics('once')})
+    WHERE window_end <= (SELECT max(event_ts) - INTERVAL 10 MINUTES FROM cleaned)""",
+)
+def stream_shared_read(spark, d):
+    """Closed windows from the raw events that one query stored batch by batch, next to its other outputs."""
+    source = jobs.file_stream(spark, sliced(messages(observations(spark, d)), "shared"), max_files=1)
+    folder = scratch_path(spark, "shared-outputs")
+    jobs.wait(spark, jobs.shared_read(source, folder, lambda rows: jobs.outputs_of(rows, aliases=ALIASES), drain=True))
+    rows = drained(jobs.metrics_branch(jobs.stored_raw(spark, folder), decimals=DECIMALS), "shared-metrics")
+    times = {c: wall_clock(c) for c in ("window_start", "window_end")}
+    return rows.withColumns(times).select(*fixed.METRIC_COLUMNS)
+
+
 @query(
     "stream_reordered",
     f""", {CLEAN_SQL}

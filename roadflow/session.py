@@ -101,6 +101,11 @@ def delete_path(spark: SparkSession, name: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def path_exists(spark: SparkSession, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a result once to the shared folder and read it back; ``drop_staged`` removes it again.
 

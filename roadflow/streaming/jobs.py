@@ -7,7 +7,7 @@ closed.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from roadflow.functions.times import wall_clock
 from roadflow.operators import records
 from roadflow.operators.dedup import keep_first
 from roadflow.operators.windows import window_metrics
+from roadflow.session import path_exists
 from roadflow.sources.contract import EVENT_SCHEMA
 
 
@@ -129,6 +130,73 @@ def run(
     )
 
 
+def outputs_of(
+    raw: DataFrame, lenient: bool = False, aliases: Mapping[str, str] | None = None
+) -> dict[str, DataFrame]:
+    """Raw events, rejects and dead letters of some messages, by output; every message is in exactly one of them."""
+    readable, dead = records.split_dead_letters(raw)
+    parsed = parsed_stream(readable, lenient=lenient)
+    raw_rows = raw_branch(records.clean(parsed, aliases=aliases))
+    return {
+        "raw": raw_rows.withColumn("event_date", F.to_date(wall_clock("event_ts"))),
+        "rejects": rejects_branch(parsed, aliases),
+        "dead_letters": dead,
+    }
+
+
+def shared_read(
+    raw: DataFrame,
+    folder: str,
+    outputs: Callable[[DataFrame], Mapping[str, DataFrame]] = outputs_of,
+    partition_by: Mapping[str, Sequence[str]] | None = None,
+    drain: bool = False,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """One query for all outputs that need no state: each batch is read from the source once and kept for its outputs.
+
+    An output's rows of a batch are in ``<output>/batch_id=<n>``, and its success marker, which the write leaves last, says that
+    it is whole. A batch that is tried again after a failure writes the outputs that have no marker and leaves the others, so
+    none is missing and none is repeated. By default raw is partitioned by local day. Needs a file system
+    whose committer leaves ``_SUCCESS``, as Spark's own do.
+    """
+    days = {"raw": ["event_date"]} if partition_by is None else partition_by
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = batch.persist()
+        try:
+            for name, part in outputs(rows).items():
+                path = f"{folder}/{name}/batch_id={number}"
+                if not path_exists(batch.sparkSession, f"{path}/_SUCCESS"):
+                    whole = part.write.mode("overwrite").option("partitionOverwriteMode", "static")
+                    whole.partitionBy(*days.get(name, ())).parquet(path)
+        finally:
+            rows.unpersist()
+
+    writer = (
+        raw.writeStream.queryName("traffic_outputs")
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{folder}/checkpoints/outputs")
+    )
+    if drain:
+        writer = writer.trigger(availableNow=True)
+    elif interval:
+        writer = writer.trigger(processingTime=interval)
+    return writer.start()
+
+
+def stored_raw(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """Stream of the raw events that ``shared_read`` has stored, for branches with state: they read and parse no message again.
+
+    Only whole files are seen. ``batch_id`` says with which batch an event came.
+    """
+    empty = spark.createDataFrame([], "value string")
+    columns = outputs_of(empty)["raw"].schema.add("batch_id", "long")
+    reader = spark.readStream.schema(columns)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(f"{folder}/raw")
+
+
 def wait(spark: SparkSession, *queries: StreamingQuery) -> None:
     """Wait for the queries; the first failure stops the others and is raised."""
     try:

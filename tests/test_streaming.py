@@ -125,6 +125,50 @@ def test_failure_stops_the_other_query(spark, lake, tmp_path):
     assert not good.isActive and not bad.isActive
 
 
+def shared(spark, folder, out, **options):
+    query = jobs.shared_read(jobs.file_stream(spark, str(folder.path), max_files=1), out, drain=True, **options)
+    jobs.wait(spark, query)
+    return query
+
+
+def test_one_read_feeds_all_outputs(spark, lake):
+    folder, out = lake
+    for hour in range(8, 11):
+        folder.arrive(*[at(f"{hour:02d}:{m:02d}", vehicle_count=m) for m in range(0, 60, 5)], "broken", at("08:01", vehicle_count=-1))
+    folder.arrive(at("08:00", vehicle_count=77, anomaly_type="Duplicate"), at("23:00"))
+    query = shared(spark, folder, out)
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [14, 14, 14, 2]
+    assert [read(spark, out, name).count() for name in ("raw", "rejects", "dead_letters")] == [38, 3, 3]
+    assert shared(spark, folder, out).recentProgress == [] or read(spark, out, "raw").count() == 38
+    metrics = jobs.metrics_branch(jobs.stored_raw(spark, out), with_rank=True)
+    jobs.wait(spark, jobs.parquet_sink(metrics, "stored", f"{out}/metrics", f"{out}/cp", drain=True))
+    other = f"{out}-each"
+    run(spark, folder, other)
+    found, wanted = read(spark, out, "metrics"), read(spark, other, "metrics")
+    assert found.select(wanted.columns).exceptAll(wanted).count() == 0 and found.count() == wanted.count() > 30
+
+
+def test_failure_between_two_outputs_repeats_neither(spark, lake):
+    folder, out = lake
+    folder.arrive(at("08:00"), "broken")
+    folder.arrive(at("08:01"), at("08:02", vehicle_count=-1), "broken")
+    shared(spark, folder, out)
+    folder.arrive(at("08:03"), at("08:04"), "broken", at("08:05", vehicle_count=-1))
+
+    def failing(rows):
+        parts = jobs.outputs_of(rows)
+        stop = F.raise_error(F.lit("stop here")).cast("string")
+        return parts | {"rejects": parts["rejects"].withColumn("reasons", stop)}
+
+    with pytest.raises(StreamingQueryException):
+        shared(spark, folder, out, outputs=failing)
+    written = {str(p): p.stat().st_mtime_ns for p in Path(out).glob("raw/batch_id=2/**/*.parquet")}
+    assert written and read(spark, out, "raw").count() == 4 and read(spark, out, "rejects").count() == 1
+    shared(spark, folder, out)
+    assert {str(p): p.stat().st_mtime_ns for p in Path(out).glob("raw/batch_id=2/**/*.parquet")} == written
+    assert [read(spark, out, name).count() for name in ("raw", "rejects", "dead_letters")] == [4, 2, 3]
+
+
 def test_every_message_is_in_one_of_three_outputs(spark, lake):
     folder, out = lake
     folder.arrive(at("08:00"), "broken", "[1]", at("08:01", vehicle_count=-1), at("08:02", congestion_level="Odd"))
