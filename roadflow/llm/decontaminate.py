@@ -3,7 +3,12 @@
 A spaced seed is a fixed mask over consecutive words that ignores some positions, so a changed word there does not
 break the hit. The hashes of all benchmark seeds are joined with those of every position of every document where the
 documents are read; around each hit the two word sequences are compared along their diagonal, word by word, and the
-best stretch (a match counts 1, a substitution ``-PENALTY``) must hold enough equal words.
+best stretch (a match counts 1, a substitution ``-PENALTY``) must hold enough equal words. Of an item too short for that many,
+the whole diagonal counts. Items too short for the masks have masks of their own, of their length; each ignores a third of it,
+so that one changed word anywhere leaves a seed.
+
+Words are runs of letters and digits. Scripts that are written without spaces give a word per character, and two such
+characters are as much evidence as one word.
 
 The benchmark is taken in blocks of at most ``BLOCK_WORDS`` words. Only one block at a time is held or sent, so its
 size is bounded however large the benchmark is; a larger one means more passes over the documents.
@@ -25,15 +30,56 @@ from roadflow.session import staged
 
 MASKS = ["111010011", "110101101", "101100111"]
 LEAST_WORDS = 5  # shorter items are no evidence
-ENOUGH = 13  # equal words that make an overlap; of shorter items, SHARE of their words
-SHARE = 0.8
+ENOUGH = 13  # equal words that make an overlap; of shorter items, four fifths of their words
 PENALTY = 3
 BLOCK_WORDS = 1 << 20
 
 
-def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+# Scripts without spaces between words, as ranges of code points divided by 64: Thai, Lao, Myanmar, Khmer,
+# ideographs with kana and their punctuation, compatibility ideographs. Ideographs of four bytes begin with F0 A0.
+UNSPACED = [(0x38, 0x3B), (0x40, 0x42), (0x5E, 0x5F), (0xBA, 0x27F), (0x3E4, 0x3EB)]
+
+
+def _characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the characters of scripts without spaces begin, and their sizes in bytes."""
+    at = np.flatnonzero(data[:-2] >= 0xE0) if len(data) > 2 else np.zeros(0, np.int64)
+    lead, second = data[at].astype(np.int64), data[at + 1].astype(np.int64)
+    block = ((lead & 15) << 6) | (second & 63)
+    three = np.zeros(len(at), bool)
+    for low, high in UNSPACED:
+        three |= (lead < 0xF0) & (block >= low) & (block <= high)
+    four = (lead == 0xF0) & (second >= 0xA0)
+    return at[three | four], np.where(four, 4, 3)[three | four]
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, the index of each text's first word, and which words are single characters."""
     starts, ends, first = words(data, offsets, INSIDE)
-    return Rolling(LOWER[data]).spans(starts, ends), first
+    at, size = _characters(data)
+    if not len(at):
+        return starts, ends, first, np.zeros(len(starts), bool)
+    after = at + size
+    run = np.searchsorted(starts, after, "right") - 1
+    cuts = np.union1d(starts, np.concatenate([at, after[after < ends[run]]]))
+    limits = ends[np.searchsorted(starts, cuts, "right") - 1]
+    stops = np.minimum(np.append(cuts[1:], len(data)), limits)
+    return cuts, stops, np.searchsorted(cuts, offsets), np.isin(cuts, at)
+
+
+def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    starts, ends, first, single = _words(data, offsets)
+    return Rolling(LOWER[data]).spans(starts, ends), first, single
+
+
+def short_masks(n: int) -> list[str]:
+    """Masks for items of ``n`` words; each ignores another third of them. Ignored ends are left off."""
+    third = -(-n // 3)
+    return ["".join("0" if k // third == part else "1" for k in range(n)).strip("0") for part in range(3)]
+
+
+def least_equal(n: int) -> int:
+    """Equal words that make an overlap with an item of ``n`` words."""
+    return min(ENOUGH, -(-4 * n // 5))
 
 
 def _seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
@@ -62,12 +108,16 @@ class Block:
 
     def __init__(self, ids: list, texts: list[str]):
         data, offsets = text_bytes(pa.array(texts, pa.large_string()))
-        hashes, first = _word_hashes(data, offsets)
+        hashes, first, single = _word_hashes(data, offsets)
         sizes = np.diff(first)
+        singles = np.diff(np.concatenate([[0], np.cumsum(single)])[first])
+        evident = sizes - singles // 2 >= LEAST_WORDS
         self.ids, self.hashes, self.first = ids, hashes, first
-        masks = {m: sizes >= len(m) for m in MASKS}
-        # An item shorter than the masks is its own seed.
-        masks |= {"1" * n: sizes == n for n in range(LEAST_WORDS, len(MASKS[0])) if (sizes == n).any()}
+        masks = {m: evident & (sizes > len(m)) for m in MASKS}
+        for n in range(LEAST_WORDS, len(MASKS[0]) + 1):
+            wanted = evident & (sizes == n)
+            for m in short_masks(n) if wanted.any() else ():
+                masks[m] = wanted | masks.get(m, False)
         self.tables = []
         owner = np.repeat(np.arange(len(sizes)), sizes)
         for mask, wanted in masks.items():
@@ -84,7 +134,7 @@ class Block:
 
     def overlaps(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(text, item, equal words, first word in the text, words compared), the best of each text and item."""
-        hashes, first = _word_hashes(data, offsets)
+        hashes, first, _ = _word_hashes(data, offsets)
         found = []
         for mask, keys, at, owner, bits, seen in self.tables:
             seeds = _seeds(hashes, mask)
@@ -115,12 +165,16 @@ class Block:
         own = self.hashes[self.first[item] : self.first[item + 1]]
         low, high = max(begin, origin), min(end, origin + len(own))
         equal = hashes[low:high] == own[low - origin : high - origin]
-        sums = np.concatenate([[0], np.cumsum(np.where(equal, 1, -PENALTY))])
-        floor = np.minimum.accumulate(sums)
-        stop = int(np.argmax(sums - floor))
-        start = int(np.flatnonzero(sums[: stop + 1] == floor[stop])[-1])
+        if len(own) * 4 <= ENOUGH * 5:
+            at = np.flatnonzero(equal)
+            start, stop = int(at[0]), int(at[-1]) + 1
+        else:
+            sums = np.concatenate([[0], np.cumsum(np.where(equal, 1, -PENALTY))])
+            floor = np.minimum.accumulate(sums)
+            stop = int(np.argmax(sums - floor))
+            start = int(np.flatnonzero(sums[: stop + 1] == floor[stop])[-1])
         matched = int(equal[start:stop].sum())
-        if matched < min(ENOUGH, int(np.ceil(SHARE * len(own)))):
+        if matched < least_equal(len(own)):
             return None
         return matched, low - begin + start, stop - start
 
@@ -144,7 +198,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WOR
     """One row per document and benchmark item that overlap: doc_id, item_id, n_equal, n_compared, first_word.
 
     Documents without an overlap give no row; null and empty texts have none, and an empty benchmark gives no rows.
-    Repeated documents are reported each. Other columns are not read. Items under five words are no evidence.
+    Repeated documents are reported each. Other columns are not read. Items under five words, or ten characters of a script
+    without spaces, are no evidence.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     item_kind = benchmark.schema["item_id"].dataType.simpleString()
