@@ -22,32 +22,48 @@ def present(*columns: str) -> Column:
 
 
 def with_previous(
-    df: DataFrame, key: str, time: str, carried: Sequence[str], target: str = "previous", chunk: str = "DAY"
+    df: DataFrame,
+    key: str,
+    time: str,
+    carried: Sequence[str],
+    target: str = "previous",
+    chunk: str = "DAY",
+    day: str | None = None,
 ) -> DataFrame:
     """Add the struct of ``carried`` columns of the row before, by time, within the key.
 
     Needs one row per key and time; ``chunk`` is the stretch of time that one task sorts. Both branches below keep the same columns and the same NULL filter, so
-    Spark reads one shuffle for both and scans the input once.
+    Spark reads one shuffle for both and scans the input once. ``day`` names a column that holds the local day already; rows
+    that are stored by key and day are then not shuffled, but read for both branches.
     """
-    df = df.withColumn("_chunk", F.date_trunc(chunk, time)).filter(present(key, "_chunk"))
-    in_chunk = Window.partitionBy(key, "_chunk").orderBy(time)
+    part = day or "_chunk"
+    if day is None:
+        df = df.withColumn(part, F.date_trunc(chunk, time))
+    df = df.filter(present(key, part))
+    in_chunk = Window.partitionBy(key, part).orderBy(time)
     rows = df.withColumn("_before", F.lag(F.struct(*carried)).over(in_chunk))
-    ends = df.groupBy(key, "_chunk").agg(F.max_by(F.struct(*df.columns), F.col(time)).alias("_end"))
-    along = Window.partitionBy(key).orderBy("_chunk")
+    ends = df.groupBy(key, part).agg(F.max_by(F.struct(*df.columns), F.col(time)).alias("_end"))
+    along = Window.partitionBy(key).orderBy(part)
     before = F.col("_before")
     carry = F.when(before.isNotNull(), F.struct(*[before[c].alias(c) for c in carried]))
-    ends = ends.withColumn("_before", F.lag("_end").over(along)).select(key, "_chunk", carry.alias("_carry"))
+    ends = ends.withColumn("_before", F.lag("_end").over(along)).select(key, part, carry.alias("_carry"))
     return (
-        rows.join(ends, [key, "_chunk"], "left")
+        rows.join(ends, [key, part], "left")
         .withColumn(target, F.coalesce("_before", "_carry"))
-        .drop("_chunk", "_before", "_carry")
+        .drop(part, "_before", "_carry")
     )
 
 
-def observation_gaps(events: DataFrame, key: str = "road_segment_id", time: str = "event_ts") -> DataFrame:
-    """One row per segment and observation time, with the time before it and the gap in seconds."""
-    times = events.filter(present(key, time)).groupBy(key, time).agg(F.count(F.lit(1)).alias("observations"))
-    gaps = with_previous(times, key, time, [time])
+def observation_gaps(
+    events: DataFrame, key: str = "road_segment_id", time: str = "event_ts", day: str | None = None
+) -> DataFrame:
+    """One row per segment and observation time, with the time before it and the gap in seconds.
+
+    ``day`` names a column that holds the day of the time, for tables that are stored by segment and day.
+    """
+    grain = [key, day, time] if day else [key, time]
+    times = events.filter(present(key, time)).groupBy(*grain).agg(F.count(F.lit(1)).alias("observations"))
+    gaps = with_previous(times, key, time, [time], day=day)
     return gaps.select(
         key,
         time,
@@ -77,28 +93,32 @@ def order_inversions(
 
 
 def episodes(
-    events: DataFrame, labels: Sequence[str], key: str = "road_segment_id", time: str = "event_ts"
+    events: DataFrame,
+    labels: Sequence[str],
+    key: str = "road_segment_id",
+    time: str = "event_ts",
+    day: str | None = None,
 ) -> DataFrame:
     """Runs of consecutive observations with the same labels, per segment.
 
     Runs are cut per (segment, day) chunk; the first run of a day joins the last one of the day before
     when their labels are the same. At one time the labels are ordered by value. The days keep all columns of
-    the runs, so that both read the same shuffle.
+    the runs, so that both read the same shuffle. ``day`` names a column that holds the day of the time, for tables that are
+    stored by segment and day.
     """
-    rows = (
-        events.filter(present(key, time))
-        .groupBy(key, time, *labels)
-        .agg(F.count(F.lit(1)).alias("observations"))
-        .withColumn("_chunk", F.to_date(time))
-        .filter(present(key, "_chunk"))
-    )
+    part = day or "_chunk"
+    grain = [key, day, time] if day else [key, time]
+    rows = events.filter(present(key, time)).groupBy(*grain, *labels).agg(F.count(F.lit(1)).alias("observations"))
+    if day is None:
+        rows = rows.withColumn(part, F.to_date(time))
+    rows = rows.filter(present(key, part))
     label = F.struct(*labels)
-    in_chunk = Window.partitionBy(key, "_chunk").orderBy(time, *labels)
+    in_chunk = Window.partitionBy(key, part).orderBy(time, *labels)
     changed = F.when(F.lag(label).over(in_chunk).eqNullSafe(label), 0).otherwise(1)
     runs = (
         rows.withColumn("_change", changed)
         .withColumn("_run", F.sum("_change").over(in_chunk.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy(key, "_chunk", "_run")
+        .groupBy(key, part, "_run")
         .agg(
             F.first(label).alias("_label"),
             F.min(time).alias("start_ts"),
@@ -106,9 +126,9 @@ def episodes(
             F.sum("observations").alias("observations"),
         )
     )
-    along = Window.partitionBy(key).orderBy("_chunk")
+    along = Window.partitionBy(key).orderBy(part)
     days = (
-        runs.groupBy(key, "_chunk")
+        runs.groupBy(key, part)
         .agg(
             F.max("_run").alias("_runs"),
             F.min_by("_label", "_run").alias("_first"),
@@ -118,10 +138,10 @@ def episodes(
         .withColumn("_joins", F.col("_before._label").eqNullSafe(F.col("_first")).cast("int"))
         .withColumn("_new", F.col("_runs") - F.col("_joins"))
         .withColumn("_offset", F.sum("_new").over(along) - F.col("_runs"))
-        .select(key, "_chunk", "_offset")
+        .select(key, part, "_offset")
     )
     return (
-        runs.join(days, [key, "_chunk"])
+        runs.join(days, [key, part])
         .groupBy(key, (F.col("_offset") + F.col("_run")).alias("episode"))
         .agg(
             F.first("_label").alias("_label"),

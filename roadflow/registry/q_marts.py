@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from roadflow.functions import fixed
 from roadflow.operators import dedup, joins, sequences, windows
 from roadflow.operators.quality import detect_anomalies
-from roadflow.plans import build, marts
+from roadflow.plans import build, layout, marts
 from roadflow.registry.catalog import (
     DECIMALS,
     latest,
@@ -22,7 +24,7 @@ from roadflow.registry.catalog import (
     valid_events,
 )
 from roadflow.registry.observations import observations, segments
-from roadflow.session import staged
+from roadflow.session import scratch_path, staged
 
 
 @query("dedup_latest", "SELECT * FROM latest")
@@ -175,13 +177,13 @@ def redelivered_duplicates(spark, d):
     return found.groupBy("event_id", label.alias("duplicate")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(
-    "obs_gap",
-    """SELECT road_segment_id, event_ts, n AS observations, previous_ts,
+GAP_SQL = """SELECT road_segment_id, event_ts, n AS observations, previous_ts,
          date_diff('second', previous_ts, event_ts)::DOUBLE AS gap_seconds
        FROM (SELECT *, lag(event_ts) OVER (PARTITION BY road_segment_id ORDER BY event_ts) AS previous_ts
-         FROM (SELECT road_segment_id, event_ts, count(*) AS n FROM obs GROUP BY ALL))""",
-)
+         FROM (SELECT road_segment_id, event_ts, count(*) AS n FROM obs GROUP BY ALL))"""
+
+
+@query("obs_gap", GAP_SQL)
 def obs_gap(spark, d):
     return sequences.observation_gaps(observations(spark, d))
 
@@ -196,9 +198,7 @@ def order_inversions(spark, d):
     return sequences.order_inversions(observations(spark, d))
 
 
-@query(
-    "incident_episodes",
-    """SELECT road_segment_id, episode, any_value(incident_type) AS incident_type, min(event_ts) AS start_ts,
+EPISODE_SQL = """SELECT road_segment_id, episode, any_value(incident_type) AS incident_type, min(event_ts) AS start_ts,
          max(event_ts) AS end_ts, sum(n)::BIGINT AS observations
        FROM (SELECT *, sum(change) OVER (PARTITION BY road_segment_id ORDER BY event_ts, incident_type NULLS FIRST
            ROWS UNBOUNDED PRECEDING)::BIGINT AS episode
@@ -206,12 +206,46 @@ def order_inversions(spark, d):
              lag(incident_type) OVER w THEN 0 ELSE 1 END AS change
            FROM (SELECT road_segment_id, event_ts, incident_type, count(*) AS n FROM stg GROUP BY ALL)
            WINDOW w AS (PARTITION BY road_segment_id ORDER BY event_ts, incident_type NULLS FIRST)))
-       GROUP BY 1, 2""",
-)
+       GROUP BY 1, 2"""
+
+
+@query("incident_episodes", EPISODE_SQL)
 def incident_episodes(spark, d):
     return sequences.episodes(staged_events(spark, d), ["incident_type"])
 
 
+def laid_out(events, name):
+    """Events as a table by segment and day; its files are in the shared folder, so its name is only needed to plan."""
+    spark, layer = events.sparkSession, f"layout_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return layout.write_by_segment(events, "events", buckets, layer, scratch_path(spark, name)), layer
+
+
+def read_laid_out(events, name, read):
+    """What ``read`` gives of the laid-out events."""
+    spark = events.sparkSession
+    full, layer = laid_out(events, name)
+    found = read(spark, full)
+    spark.sql(f"DROP DATABASE {layer} CASCADE")
+    return found
+
+
+@query("obs_gap_by_layout", GAP_SQL)
+def obs_gap_by_layout(spark, d):
+    return read_laid_out(observations(spark, d), "gaps", layout.gaps)
+
+
+@query("incident_episodes_by_layout", EPISODE_SQL)
+def incident_episodes_by_layout(spark, d):
+    events = staged_events(spark, d)
+    return read_laid_out(events, "episodes", lambda spark, full: layout.episodes(spark, full, ["incident_type"]))
+
+
+@query("segment_latest_by_layout", "SELECT * FROM dim_segment")
+def segment_latest_by_layout(spark, d):
+    return read_laid_out(latest(spark, d), "segments", layout.segment_latest)
+
+
 @query(
     "missing_observations",
     """SELECT road_segment_id, step FROM (SELECT DISTINCT road_segment_id FROM obs),
