@@ -16,7 +16,7 @@ from roadflow.plans import corrections
 from roadflow.registry.catalog import DECIMALS, VALID_SQL, query, sql_metrics, sql_only, valid_events
 from roadflow.registry.observations import messages, observations, observations_of, table
 from roadflow.session import scratch_path, setting, staged
-from roadflow.streaming import jobs, reorder
+from roadflow.streaming import jobs, reorder, state
 
 ALIASES = {"Moderate": "Medium"}
 
@@ -180,6 +180,45 @@ def win5_corrected(spark, d):
     return found
 
 
+_MARK = "(SELECT max(event_ts) - INTERVAL 10 MINUTES FROM cleaned)"
+
+
+def metrics_state(spark: SparkSession, d: str, name: str) -> str:
+    """Run the metrics branch over the data at hand; returns its checkpoint."""
+    rows = jobs.metrics_branch(cleaned(spark, d), decimals=DECIMALS)
+    path, checkpoint = scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint")
+    jobs.parquet_sink(rows, path.rsplit("/", 1)[1], path, checkpoint, drain=True).awaitTermination()
+    return checkpoint
+
+
+@query(
+    "stream_held_ids",
+    f""", {CLEAN_SQL}
+    SELECT event_id, event_ts + INTERVAL 10 MINUTES AS expires FROM once
+    WHERE event_ts + INTERVAL 10 MINUTES > {_MARK}""",
+)
+def stream_held_ids(spark, d):
+    """Ids that the deduplication still holds after all data; the others have left its state."""
+    rows = state.held_ids(spark, metrics_state(spark, d, "held-ids"))
+    return rows.select("event_id", wall_clock("expires").alias("expires"))
+
+
+@query(
+    "stream_state_audit",
+    f""", {CLEAN_SQL}, held AS (
+      SELECT 'dedupeWithinWatermark' AS operator, event_ts + INTERVAL 10 MINUTES AS expires FROM once
+      UNION ALL SELECT 'stateStoreSave', window_end FROM ({sql_metrics('once')}))
+    SELECT operator, count(*) AS held, min(expires) AS next_to_leave, max(expires) AS last_to_leave,
+      {_MARK} AS watermark, 0::BIGINT AS overdue
+    FROM held WHERE expires > {_MARK} GROUP BY 1""",
+)
+def stream_state_audit(spark, d):
+    """Keys in the state of each operator after all data, and how many the watermark has passed."""
+    found = state.audit(spark, metrics_state(spark, d, "audit"))
+    times = {c: wall_clock(c) for c in ("next_to_leave", "last_to_leave", "watermark")}
+    return found.withColumns(times).drop("most_in_partition")
+
+
 _STATE_COLUMNS = "area, road_segment_id"
 
 
