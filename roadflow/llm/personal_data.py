@@ -8,13 +8,15 @@ of its occurrences that are seeds or good instances, an instance with the shape
 pattern of high confidence and support that it occurs with. Such patterns then give spans of the kind ``id``.
 
 Occurrences that are neither seeds nor shaped count against a pattern. They are counted in a second reading of the texts,
-only for patterns that are good without them; a bit table narrows them before the shuffle, the join decides.
+only for patterns that are good without them, and part by part for those that the parts before have not refuted; a bit table
+narrows them before the shuffle, the join decides.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,8 @@ CONFIDENCE = 0.75
 SUPPORT = 2
 REACH = 3  # words of a pattern on a side
 MOST_BITS = 27  # of the bit table of patterns: 16 MB
+# Documents are counted against patterns in parts that grow by four, up to these of 64 shares; the last is the whole.
+PARTS = [1, 4, 16, 64]
 # What names a secret or an identifier. Its pattern starts as good, as by one seed more than it has; the
 # rounds and SUPPORT may revise that.
 CUES = {"token", "password", "passwd", "pwd", "secret", "key", "apikey", "api_key", "ssn", "passport", "iban", "account"}
@@ -255,8 +259,10 @@ def _observed(docs: DataFrame) -> DataFrame:
 def _others(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     """pattern (long), n: occurrences around words that are neither seeds nor shaped, of at least all of ``patterns``."""
     bits = min(MOST_BITS, max(16, (64 * patterns.count()).bit_length()))
-    # Two cells a pattern, from its first and its last bits.
-    cells = F.array(F.shiftrightunsigned("pattern", 64 - bits), F.col("pattern").bitwiseAND(F.lit((1 << bits) - 1)))
+    # Four cells a pattern, from stretches of its bits.
+    shifts = [(64 - bits) * k // 3 for k in range(4)]
+    low = (1 << bits) - 1
+    cells = F.array(*[F.shiftrightunsigned("pattern", k).bitwiseAND(F.lit(low)) for k in shifts])
     held = patterns.select(F.explode(cells).alias("cell"))
     held = held.select(F.shiftright("cell", 6).alias("at"), F.expr("1L").alias("one"), F.col("cell").bitwiseAND(F.lit(63)).cast("int").alias("bit"))
     rows = held.groupBy("at").agg(F.expr("bit_or(shiftleft(one, bit))").alias("mask")).toPandas()
@@ -275,8 +281,9 @@ def _others(docs: DataFrame, patterns: DataFrame) -> DataFrame:
                 base = [base_spans(text) for text in batch.column(0).slice(i, j - i).to_pylist()]
                 units = Surroundings(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], base)
                 found = units.patterns(np.flatnonzero(~units.shaped & ~units.seed)).ravel()
-                found = found[(found > 0) & seen(found >> np.uint64(64 - bits))]
-                found = found[seen(found & np.uint64((1 << bits) - 1))]
+                found = found[found > 0]
+                for k in shifts:
+                    found = found[seen(found >> np.uint64(k) & np.uint64(low))]
                 if len(found):
                     pattern, n = np.unique(found, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(pattern.view(np.int64)), pa.array(n, pa.int64())], ["pattern", "n"])
@@ -284,6 +291,26 @@ def _others(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     return _prepared(docs).select("text").mapInArrow(run, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
 
 
+def _against(docs: DataFrame, patterns: DataFrame, confidence: float) -> DataFrame:
+    """pattern (long), n: plain occurrences of ``patterns`` (pattern, n of its shaped occurrences and seeds).
+
+    Every document is in one part, by a hash of its text, and every part is read. A pattern that its plain occurrences in
+    earlier parts have brought under the confidence, were all its others good, can never be good again: it keeps the
+    count it has, which is enough for that, and later parts do not look for it. So the many that one more text
+    refutes are met in a few texts and not in all, and what is counted stays near the number of patterns.
+    """
+    share = F.pmod(F.xxhash64("text"), F.lit(PARTS[-1]))
+    left = patterns.withColumn("plain", F.lit(0).cast("long"))
+    counted: list[DataFrame] = []
+    for low, high in zip([0, *PARTS], PARTS):
+        found = _others(docs.filter((share >= low) & (share < high)), left.select("pattern"))
+        seen = staged(left.join(found.withColumnRenamed("n", "more"), "pattern", "left").fillna(0, ["more"]), "plain-counts")
+        counted.append(seen.filter("more > 0").select("pattern", F.col("more").alias("n")))
+        left = seen.select("pattern", "n", (F.col("plain") + F.col("more")).alias("plain"))
+        left = staged(left.filter(F.col("n") / (F.col("n") + F.col("plain")) >= confidence), "open-patterns")
+    return reduce(DataFrame.unionByName, counted)
+
+
 def _is_cue():
     return F.regexp_extract("pattern", r"^([a-z_]+)", 1).isin(sorted(CUES))
 
@@ -314,8 +341,9 @@ def _graph(docs: DataFrame, rows: DataFrame, rounds: int, confidence: float, sup
     names = ever[0].select("pattern")
     for more in ever[1:]:
         names = names.unionByName(more.select("pattern"))
-    numbered = staged(names.select(F.col("pattern").try_cast("long").alias("pattern")).dropna().distinct(), "hopeful-numbers")
-    against = _others(docs, numbered).join(numbered, "pattern").select(
+    numbered = names.select(F.col("pattern").try_cast("long").alias("pattern")).dropna().distinct()
+    amounts = near.groupBy("pattern").agg(F.sum("n").alias("n"))
+    against = _against(docs, staged(numbered.join(amounts, "pattern"), "hopeful-numbers"), confidence).select(
         F.col("pattern").cast("string"), F.lit("").alias("instance"), "n", F.lit(0).alias("seed"), F.lit(False).alias("shaped")
     )
     return staged(hopeful.unionByName(against), "pattern-graph")

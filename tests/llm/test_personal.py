@@ -108,3 +108,35 @@ def test_plain_occurrences_of_hopeful_patterns_are_enough(docs_of, monkeypatch):
     monkeypatch.setattr(pd_, "_rounds", lambda graph, *a: [graph.filter("shaped").select("pattern").distinct(), *kept(graph, *a)])
     assert sorted(map(repr, pd_.scanned(docs).select("doc_id", "found").collect())) == sorted(map(repr, found))
     assert any(r.found for r in found)
+
+
+def test_parts_refute_as_the_whole_does(docs_of, monkeypatch):
+    rng = np.random.default_rng(12)
+    rows = []
+    for k in range(200):
+        number = f"AB{rng.integers(10**6):06d}"
+        rows.append((k, f"write to user{k}@mail.example.org or call. room {rng.integers(12)} of {number if k % 5 else 'none'} {k}"))
+        if k % 10 == 0:
+            rows.append((1000 + k, f"call. room {rng.integers(12)} of {number if k % 20 else 'some'} or write to desk-{k:05d} or call. now"))
+    docs = docs_of(rows)
+    found = pd_.scanned(docs).select("doc_id", "found").collect()
+    monkeypatch.setattr(pd_, "PARTS", [64])
+    assert sorted(map(repr, pd_.scanned(docs).select("doc_id", "found").collect())) == sorted(map(repr, found))
+    assert any(r.found for r in found)
+
+
+def test_counted_patterns_are_all_that_occur(docs_of):
+    """The bit table may pass more than the patterns, never fewer."""
+    docs = docs_of([(k, f"write to the word{k % 7} of the day{k % 3} or not") for k in range(60)])
+    text = "write to the word1 of the day1 or not".encode()
+    units = pd_.Surroundings(np.frombuffer(text, np.uint8), np.array([0, len(text)]), [[]])
+    wanted = sorted(set(units.patterns(np.arange(len(units.starts))).view(np.int64).ravel().tolist()) - {0})
+    patterns = docs.sparkSession.createDataFrame([(p,) for p in wanted], "pattern long")
+    got = {r.pattern: r.n for r in pd_._others(docs, patterns).join(patterns, "pattern").collect()}
+    counts = {}
+    for row in docs.collect():
+        data = np.frombuffer(row.text.encode(), np.uint8)
+        own = pd_.Surroundings(data, np.array([0, len(data)]), [[]])
+        for p in own.patterns(np.arange(len(own.starts))).view(np.int64).ravel().tolist():
+            counts[p] = counts.get(p, 0) + 1
+    assert got == {p: counts[p] for p in wanted if p in counts}
