@@ -2,9 +2,12 @@
 
 Records are read about in order of their event time; one that was delayed arrives later than its neighbours. Each row is held
 until the frontier, the event time that the stream has passed, has passed its arrival too: nothing that is still to
-come can have arrived before. Rows are held by slots of arrival time and by a hash of their id, so no key is hot; a timer gives a
-slot out when the frontier passes its end. The frontier is one for the whole stream, so a slot comes out in one
+come can have arrived before. Rows are held by blocks of slots of arrival time and by a hash of their id, so no key is hot; a timer
+gives a slot out when the frontier passes its end. The frontier is one for the whole stream, so a slot comes out in one
 batch, and batches hold slots in order: the sorted batches, one after the other, are the stream in arrival order.
+
+A key costs several calls between Python and the state store, however few rows it holds, so a key is a block of ``BLOCK`` slots, and
+the records of a slot that come together are one value. A block that the frontier stands in is written again with what is left.
 """
 
 from __future__ import annotations
@@ -24,6 +27,10 @@ from roadflow.session import setting
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SLOT = "_slot"  # end of the slot of arrival time, in milliseconds
+GROUP = "_block"
+BLOCK = 16  # slots of a key
+TOGETHER = 4096  # records that are joined in memory at most
+SEPARATOR = "\n"  # JSON texts hold no line ends
 SPREAD = "_spread"
 RECORD = "_record"
 HELD = "held"
@@ -32,29 +39,53 @@ PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 
 class Holding(StatefulProcessor):
-    """Holds the records of one slot and spread until the frontier has passed the slot."""
+    """Holds the records of one block and spread until the frontier has passed their slots."""
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.held = handle.getListState(HELD, T.StructType().add(RECORD, "string"))
+        self.held = handle.getListState(HELD, T.StructType().add(SLOT, "long").add(RECORD, "string"))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if timerValues.getCurrentWatermarkInMs() >= key[0]:  # came after its slot was given out
-            for row in rows:
-                yield Row(**{SLOT: key[0], RECORD: row[RECORD]})
-            return
-        self.held.appendList([(row[RECORD],) for row in rows])
-        self.handle.registerTimer(key[0])
+        frontier, first = timerValues.getCurrentWatermarkInMs(), None
+        for slots in _together(rows):
+            for slot in [s for s in slots if s <= frontier]:  # came after its slot was given out
+                yield Row(**{SLOT: slot, RECORD: SEPARATOR.join(slots.pop(slot))})
+            if slots:
+                self.held.appendList([(slot, SEPARATOR.join(records)) for slot, records in slots.items()])
+                first = min(slots) if first is None else min(first, *slots)
+        if first is not None:
+            self.handle.registerTimer(first)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        for (record,) in self.held.get():
-            yield Row(**{SLOT: key[0], RECORD: record})
-        self.held.clear()
+        frontier, left = timerValues.getCurrentWatermarkInMs(), []
+        for slot, records in self.held.get():
+            if slot <= frontier:
+                yield Row(**{SLOT: slot, RECORD: records})
+            else:
+                left.append((slot, records))
+        if left:
+            self.held.put(left)
+            self.handle.registerTimer(min(slot for slot, _ in left))
+        else:
+            self.held.clear()
 
     def close(self) -> None:
         pass
 
 
+def _together(rows) -> Iterator[dict[int, list[str]]]:
+    """Records by slot, at most ``TOGETHER`` of them at a time."""
+    slots, n = {}, 0
+    for row in rows:
+        slots.setdefault(row[SLOT], []).append(row[RECORD])
+        n += 1
+        if n == TOGETHER:
+            yield slots
+            slots, n = {}, 0
+    if slots:
+        yield slots
+
+
 def _packed(schema: T.StructType) -> Column:
     """All columns as one text, timestamps in microseconds."""
     columns = [F.unix_micros(f.name).alias(f.name) if f.dataType == T.TimestampType() else F.col(f.name) for f in schema]
@@ -63,7 +94,8 @@ def _packed(schema: T.StructType) -> Column:
 
 def _unpacked(rows: DataFrame, schema: T.StructType) -> DataFrame:
     whole = T.StructType([T.StructField(f.name, T.LongType()) if f.dataType == T.TimestampType() else f for f in schema])
-    found = rows.select(F.from_json(RECORD, whole).alias("r")).select("r.*")
+    single = rows.select(F.explode(F.split(RECORD, SEPARATOR)).alias(RECORD))
+    found = single.select(F.inline(F.array(F.from_json(RECORD, whole))))  # each record is parsed once
     back = {f.name: F.timestamp_micros(f.name) for f in schema if f.dataType == T.TimestampType()}
     return found.withColumns(back) if back else found
 
@@ -86,10 +118,10 @@ def released(
     schema = T.StructType([f for f in events.schema])
     millis = F.unix_millis(F.coalesce(arrival, time))
     end = F.coalesce((F.floor(millis / (slot_seconds * 1000)) + 1) * (slot_seconds * 1000), F.lit(0)).cast("long")
-    rows = events.withWatermark(time, delay).select(
-        end.alias(SLOT), F.pmod(F.xxhash64(key), F.lit(spread)).cast("int").alias(SPREAD), _packed(schema).alias(RECORD)
-    )
-    given = rows.groupBy(SLOT, SPREAD).transformWithState(
+    part = F.pmod(F.xxhash64(key), F.lit(spread)).cast("int")
+    rows = events.withWatermark(time, delay).select(end.alias(SLOT), part.alias(SPREAD), _packed(schema).alias(RECORD))
+    block = F.floor(F.col(SLOT) / (BLOCK * slot_seconds * 1000)).cast("long")
+    given = rows.withColumn(GROUP, block).groupBy(GROUP, SPREAD).transformWithState(
         statefulProcessor=Holding(),
         outputStructType=T.StructType().add(SLOT, "long").add(RECORD, "string"),
         outputMode="append",
@@ -101,10 +133,18 @@ def released(
 def ordered_sink(
     rows: DataFrame, path: str, checkpoint: str, arrival: str, key: str = "event_id", drain: bool = False
 ) -> StreamingQuery:
-    """Write every batch, sorted by arrival, to a folder by its number; a repeated batch replaces its own folder."""
+    """Write every batch, sorted by arrival, to a folder by its number; a repeated batch replaces its own folder.
+
+    Sorting reads a batch twice, once for the ranges, so it is kept: else the state would be gone through twice.
+    """
 
     def store(batch: DataFrame, number: int) -> None:
-        batch.orderBy(arrival, key).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{BATCH}={number}")
+        rows = batch.persist()
+        try:
+            whole = rows.orderBy(arrival, key).write.mode("overwrite").option("partitionOverwriteMode", "static")
+            whole.parquet(f"{path}/{BATCH}={number}")
+        finally:
+            rows.unpersist()
 
     writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if drain:
