@@ -1,3 +1,4 @@
+import datetime as dt
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -80,3 +81,18 @@ def test_a_block_costs_few_calls_and_gives_slots_out_one_by_one():
     assert sorted(r[reorder.SLOT] for r in late) == [60_000, 120_000]
     rest = list(holding.handleExpiredTimer((0, 0), Clock(10**9), None))
     assert sum(len(r[reorder.RECORD].split(reorder.SEPARATOR)) for r in rest) == 714 and not handle.values
+
+
+def test_outputs_read_messages_that_are_made_once(spark, tmp_path, monkeypatch):
+    from roadflow.registry import QUERIES
+
+    start, seen = dt.datetime(2024, 3, 1, 7, 30), []
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    kinds = ["view", "purchase"]
+    rows = [(n, start + dt.timedelta(minutes=n), n % 4 + 1, kinds[n % 2], 20.0 + n, '{"k": %d}' % (n % 50)) for n in range(1, 41)]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "events.parquet"))
+    run = jobs.run
+    monkeypatch.setattr(jobs, "run", lambda sent, *a, **k: seen.append(sent._jdf.queryExecution().logical().toString()) or run(sent, *a, **k))
+    found = {r.output: r.n for r in QUERIES["stream_outputs"](spark, str(tmp_path)).collect()}
+    assert sum(found.values()) == 60 and found["dead_letters"] == 20
+    assert "to_json" not in seen[0] and "inline" not in seen[0]
