@@ -59,8 +59,12 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = WORDS) -> tu
 
 def distinct(tokens: np.ndarray, text: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct tokens of every text, one text after the other, and where each text's begin."""
-    order = np.lexsort((tokens, text))
-    tokens, text = tokens[order], text[order]
+    if (text[1:] < text[:-1]).any():
+        order = np.argsort(text, kind="stable")
+        tokens, text = tokens[order], text[order]
+    tokens, edges = tokens.copy(), np.searchsorted(text, np.arange(n_texts + 1)).tolist()
+    for a, b in zip(edges[:-1], edges[1:]):
+        tokens[a:b].sort()  # text by text: several times faster than one sort by text and token
     new = np.ones(len(text), bool)
     new[1:] = (text[1:] != text[:-1]) | (tokens[1:] != tokens[:-1])
     return tokens[new], np.searchsorted(text[new], np.arange(n_texts + 1))
